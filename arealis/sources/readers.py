@@ -104,14 +104,20 @@ def read_census(
 
 
 def read_periods(
-    spark: SparkSession, path: str, first_year: int | None = None, last_year: int | None = None
+    spark: SparkSession,
+    path: str,
+    first_year: int | None = None,
+    last_year: int | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Curated table partitioned by ``ano_trimestre``, with ``ano`` as int.
 
     The year range is an expression of the partition column, so other folders are never listed
-    into the scan. Schemas of older and newer folders are merged.
+    into the scan. Schemas of older and newer folders are merged, which reads every footer; give
+    the ``schema``, partition column included, to skip that on large tables.
     """
-    table = spark.read.option("mergeSchema", True).parquet(path)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    table = reader.parquet(path)
     year = F.regexp_extract(F.col("ano_trimestre"), r"(\d{4})", 1).try_cast("int")
     table = table.withColumn("ano", year)
     if first_year is not None and last_year is not None:

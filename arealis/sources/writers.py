@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arealis.sources.readers import LATIN_1
 
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def save(
