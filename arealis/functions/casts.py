@@ -89,11 +89,10 @@ def census_text(value: Column) -> Column:
 
 
 def census_bigint(value: Column) -> Column:
-    """Census whole number; a decimal part is cut off."""
-    whole = F.regexp_extract(census_text(value), WHOLE_PART, 1)
-    return whole.try_cast("bigint")
+    """Census whole number; a decimal part is cut off. The null marks are not numbers."""
+    return F.regexp_extract(value, WHOLE_PART, 1).try_cast("bigint")
 
 
 def census_double(value: Column) -> Column:
-    """Census decimal number, written with a comma or a point."""
-    return parse_number(F.translate(census_text(value), ",", "."))
+    """Census decimal number, written with a comma or a point. The null marks are not numbers."""
+    return parse_number(F.translate(value, ",", "."))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealis.functions import casts
-from arealis.functions.rules import Rule, categorize, indicator
+from arealis.functions.rules import Rule, categorize, ignores_case, indicator
 from arealis.functions.text import NULL_TOKENS, column, null_tokens_to_null, tidy
 from arealis.operators.schema import map_present
 
@@ -64,13 +64,21 @@ def add_hour(df: DataFrame, source: str, target: str) -> DataFrame:
 def add_categories(
     df: DataFrame, table: Iterable[tuple[str, str, Sequence[Rule], str | None]]
 ) -> DataFrame:
-    """Add the category columns whose source exists, from (target, source, rules, default) rows."""
+    """Add the category columns whose source exists, from (target, source, rules, default) rows.
+
+    Upper-cased sources get a projection of their own, so that a row computes each of them once
+    and not once per rule.
+    """
+    rows = [row for row in table if row[1] in df.columns]
+    folds = {source: f"__upper_{source}" for _, source, rules, _ in rows if ignores_case(rules)}
+    folded = df.withColumns({name: F.upper(column(source)) for source, name in folds.items()})
     added = {
-        target: categorize(column(source), rules, default)
-        for target, source, rules, default in table
-        if source in df.columns
+        target: categorize(
+            column(source), rules, default, column(folds[source]) if source in folds else None
+        )
+        for target, source, rules, default in rows
     }
-    return df.withColumns(added) if added else df
+    return folded.withColumns(added).drop(*folds.values())
 
 
 def add_indicators(df: DataFrame, table: Iterable[tuple[str, str, tuple[str, ...]]]) -> DataFrame:
@@ -80,4 +88,4 @@ def add_indicators(df: DataFrame, table: Iterable[tuple[str, str, tuple[str, ...
         for target, source, accepted in table
         if source in df.columns
     }
-    return df.withColumns(added) if added else df
+    return df.withColumns(added)

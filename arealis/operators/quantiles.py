@@ -120,19 +120,28 @@ def _order_statistics(
 def _sketch_bounds(
     values: DataFrame, brackets: list[_Bracket], margin: float
 ) -> list[tuple[float, float, list[int]]]:
-    """Tighter closed bounds per rank, from one sketch per bracket."""
-    wanted = [(bracket, rank) for bracket in brackets for rank in bracket.ranks]
+    """Tighter closed bounds, from one sketch per bracket; bounds that overlap become one."""
     sketches = []
-    for index, (bracket, rank) in enumerate(wanted):
+    for index, bracket in enumerate(brackets):
         slack = margin / ACCURACY + margin / bracket.size
-        share = (rank - bracket.below) / bracket.size
-        around = [max(0.0, share - slack), min(1.0, share + slack)]
+        shares = [(rank - bracket.below) / bracket.size for rank in bracket.ranks]
+        around = [min(1.0, max(0.0, share + side)) for share in shares for side in (-slack, slack)]
         inside = F.when(bracket.holds(F.col("v")), F.col("v"))
         sketches.append(F.percentile_approx(inside, around, ACCURACY).alias(f"s{index}"))
     row = values.agg(*sketches).first()
-    return [
-        (row[index][0], row[index][1], [rank]) for index, (_, rank) in enumerate(wanted)
-    ]
+    bounds = sorted(
+        (row[index][2 * k], row[index][2 * k + 1], rank)
+        for index, bracket in enumerate(brackets)
+        for k, rank in enumerate(bracket.ranks)
+    )
+    merged: list[tuple[float, float, list[int]]] = []
+    for low, high, rank in bounds:
+        if merged and low <= merged[-1][1]:
+            first, last, ranks = merged.pop()
+            merged.append((first, max(last, high), [*ranks, rank]))
+        else:
+            merged.append((low, high, [rank]))
+    return merged
 
 
 def _count_inside(
@@ -158,7 +167,7 @@ def _count_inside(
     brackets: list[_Bracket] = []
     for index, (low, high, ranks) in enumerate(bounds):
         brackets += _settle(row, index, low, high, ranks, found)
-    return _merge(brackets)
+    return brackets
 
 
 def _settle(
@@ -171,16 +180,6 @@ def _settle(
     return [_Bracket(low, high, at_low, before - at_low, left)] if left else []
 
 
-def _merge(brackets: list[_Bracket]) -> list[_Bracket]:
-    """Join brackets that share bounds, which neighbouring ranks usually do."""
-    merged: dict[tuple[float, float], _Bracket] = {}
-    for bracket in brackets:
-        known = merged.setdefault((bracket.low, bracket.high), bracket)
-        if known is not bracket:
-            known.ranks += bracket.ranks
-    return list(merged.values())
-
-
 def _rank_inside(values: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
     """Group the few values inside the brackets, then rank them bracket by bracket."""
     hits = F.array_compact(

@@ -114,7 +114,10 @@ def district_rate_per_resident(base: DataFrame, key: str, district: str = "nm_di
 
 
 def share_of_total(df: DataFrame, measure: str, target: str = "participacao_pct") -> DataFrame:
-    """Percentage of the grand total. The total is a scalar subquery: no row leaves its task."""
+    """Percentage of the grand total, which is a scalar subquery: no window gathers the rows.
+
+    The frame is read twice, so give it as a stored table where its plan is long.
+    """
     total = df.agg(F.sum(column(measure))).scalar()
     return df.withColumn(target, safe_ratio(column(measure), total) * 100)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +37,12 @@ def pair_counts(df: DataFrame, first: str, second: str) -> DataFrame:
 def category_grid(df: DataFrame, row: str, across: str, values: Sequence[str]) -> DataFrame:
     """Counts of ``row`` against the given values of ``across``; absent pairs are zero.
 
-    Rows with any other value are left out. One aggregation, with the values known up front.
+    Rows of the grid without any of the values are left out, after the counting: a filter before it
+    would compute a derived category twice per input row.
     """
     cells = [F.count_if(column(across) == value).alias(value) for value in values]
-    return df.where(column(across).isin(*values)).groupBy(row).agg(*cells)
+    grid = df.groupBy(row).agg(*cells)
+    return grid.where(reduce(or_, [column(value) > 0 for value in values]))
 
 
 def hourly_counts(df: DataFrame, hour: str) -> DataFrame:

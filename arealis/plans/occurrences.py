@@ -13,7 +13,8 @@ from arealis.presets import vehicle
 def clean_occurrences(raw: DataFrame) -> DataFrame:
     """The whole cleaning. Every step skips columns the sheet does not have.
 
-    The projections collapse into one; the only shuffle is the deduplication at the end.
+    The one shuffle is the deduplication. It comes before the derived columns: they follow from the
+    others, so the distinct rows are the same, and the shuffle carries half the width.
     """
     named = normalize_names(raw)
     texts = cleaning.blank_tokens(cleaning.trim_text(named))
@@ -25,9 +26,9 @@ def clean_occurrences(raw: DataFrame) -> DataFrame:
         .transform(cleaning.cast_clocks, vehicle.CLOCKS)
         .transform(cleaning.cast_coordinates, vehicle.COORDINATES)
     )
-    labelled = (
-        typed.transform(cleaning.add_hour, "hora_ocorrencia", "hora_ocorrencia_num")
+    return (
+        drop_duplicate_rows(typed)
+        .transform(cleaning.add_hour, "hora_ocorrencia", "hora_ocorrencia_num")
         .transform(cleaning.add_categories, vehicle.CATEGORIES)
         .transform(cleaning.add_indicators, vehicle.FLAGS)
     )
-    return drop_duplicate_rows(labelled)

@@ -13,6 +13,7 @@ from arealis.operators.correlation import correlate
 from arealis.operators.rates import population_floor, rates_by_unit, rates_by_unit_period
 from arealis.operators.schema import present
 from arealis.presets import analysis
+from arealis.sources.scratch import materialize
 
 
 def located(events: DataFrame, key: str = "SJ_CD_SETOR", unit_key: str = "cd_setor") -> DataFrame:
@@ -66,10 +67,19 @@ class RegressionStudy:
     diagnostics: DataFrame
 
 
+def model_table_of(base: DataFrame) -> DataFrame:
+    """The columns of the models for populated units, as a written table."""
+    columns = {analysis.LOG_RATE, *(name for names in analysis.MODELS.values() for name in names)}
+    populated = population_floor(base, analysis.POPULATION_FLOOR_MODEL)
+    return materialize(populated.select(*sorted(columns)))
+
+
 def regression_study(base: DataFrame) -> RegressionStudy:
-    """Two passes over the base: one for all fits, one for the residual moments."""
+    """All models and tables. The base is computed once: its model columns are written out, then
+    read for the fits and again for the residual moments.
+    """
     spark = base.sparkSession
-    populated = population_floor(base, analysis.POPULATION_FLOOR_MODEL)
+    populated = model_table_of(base)
     fits = regression.fit_models(populated, analysis.LOG_RATE, analysis.MODELS)
     main = list(fits)[-1]
     return RegressionStudy(

@@ -67,16 +67,16 @@ CONDUCT = (
 )
 
 OFFENCE = (
-    Rule("FURTO", "regex", ("^FURTO",)),
-    Rule("ROUBO", "regex", ("^ROUBO",)),
-    Rule("RECUPERACAO", "regex", ("LOCALIZAÇÃO|APREENSÃO|ENTREGA",)),
-    Rule("RECEPTACAO", "regex", ("RECEPTAÇÃO",)),
-    Rule("ADULTERACAO", "regex", ("ADULTERAÇÃO",)),
-    Rule("FRAUDE", "regex", ("ESTELIONATO|APROPRIAÇÃO INDÉBITA",)),
-    Rule("ACIDENTE", "regex", ("COLISÃO|CHOQUE|ABALROAMENTO|TOMBAMENTO",)),
-    Rule("VIOLENCIA", "regex", ("HOMICÍDIO|LESÃO CORPORAL|AMEAÇA|VIOLÊNCIA",)),
-    Rule("DROGAS", "regex", ("TRÁFICO|DROGAS",)),
-    Rule("ARMAS", "regex", ("ARMA",)),
+    Rule("FURTO", "starts", ("FURTO",)),
+    Rule("ROUBO", "starts", ("ROUBO",)),
+    Rule("RECUPERACAO", "contains", ("LOCALIZAÇÃO", "APREENSÃO", "ENTREGA")),
+    Rule("RECEPTACAO", "contains", ("RECEPTAÇÃO",)),
+    Rule("ADULTERACAO", "contains", ("ADULTERAÇÃO",)),
+    Rule("FRAUDE", "contains", ("ESTELIONATO", "APROPRIAÇÃO INDÉBITA")),
+    Rule("ACIDENTE", "contains", ("COLISÃO", "CHOQUE", "ABALROAMENTO", "TOMBAMENTO")),
+    Rule("VIOLENCIA", "contains", ("HOMICÍDIO", "LESÃO CORPORAL", "AMEAÇA", "VIOLÊNCIA")),
+    Rule("DROGAS", "contains", ("TRÁFICO", "DROGAS")),
+    Rule("ARMAS", "contains", ("ARMA",)),
 )
 
 VEHICLE_EVENT = (
@@ -90,7 +90,7 @@ VEHICLE_TYPE = (
     Rule("MOTOCICLETA", "in", ("MOTOCICLO", "MOTONETA", "CICLOMOTO")),
     Rule("PESADO", "in", ("CAMINHÃO", "CAMINHÃO TRATOR", "SEMI-REBOQUE", "REBOQUE")),
     Rule("TRANSPORTE_PUBLICO", "in", ("ONIBUS", "MICRO-ONIBUS")),
-    Rule("MAQUINARIO", "regex", ("TRATOR",)),
+    Rule("MAQUINARIO", "contains", ("TRATOR",)),
     Rule("BICICLETA", "in", ("BICICLETA",)),
 )
 

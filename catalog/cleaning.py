@@ -69,7 +69,8 @@ def rules_sql(name: str, rules, default: str | None) -> str:
         elif rule.kind == "between":
             test = f"{name} BETWEEN {rule.args[0]} AND {rule.args[1]}"
         else:
-            test = f"regexp_matches({name}, '{rule.args[0]}', 'i')"
+            start = "^" if rule.kind == "starts" else ""
+            test = f"regexp_matches({name}, '{start}({'|'.join(rule.args)})', 'i')"
         whens.append(f"WHEN {test} THEN '{rule.label}'")
     end = "NULL" if default is None else f"'{default}'"
     return f"CASE {' '.join(whens)} ELSE {end} END"

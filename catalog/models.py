@@ -223,7 +223,7 @@ DIAGNOSTICS = (
 
 @query("ols_diagnostics", _diagnostics_sql())
 def ols_diagnostics(t):
-    base = populated(t)
+    base = study.model_table_of(full_rate_base(t))
     found = regression.fit_models(base, analysis.LOG_RATE, analysis.MODELS)
     return rounded(regression.diagnostics(base, found).drop("condition_number"), DIAGNOSTICS)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from arealis.operators import combine, quality, rates, tables
 from arealis.plans import study, views
 from arealis.presets import analysis
+from arealis.sources import scratch
 from catalog.registry import query, rounded, sql_rounded, with_adapters
 from catalog.units import FINAL_CTES, RAW, log1p_sql, ratio_sql, unit_tables
 
@@ -174,7 +175,8 @@ def rollup_district(t):
     + "SELECT *, round(100.0 * qt_crimes / (SELECT sum(qt_crimes) FROM districts), 6) AS participacao_pct FROM districts",
 )
 def share_of_total(t):
-    return rounded(rates.share_of_total(districts(t), "qt_crimes"), ["participacao_pct"])
+    shares = rates.share_of_total(scratch.materialize(districts(t)), "qt_crimes")
+    return rounded(shares, ["participacao_pct"])
 
 
 @query(

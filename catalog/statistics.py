@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.operators import correlation, distribution, quantiles
-from arealis.operators.rates import population_floor
+from arealis.operators.rates import add_rates, count_events, population_floor
 from arealis.plans import study
 from arealis.presets import analysis
+from arealis.sources import scratch
 from catalog.rates import BASE, FULL, FULL_BASE, OCC_UNITS, full_rate_base, rate_base
 from catalog.registry import query, rounded, with_adapters
+from catalog.units import unit_tables
 
 LEVELS = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 SUMMARY = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
@@ -32,8 +34,9 @@ def _summary_sql(name: str, source: str) -> str:
     + _summary_sql("qt_pessoas", "base"),
 )
 def summary_stats(t):
-    base = rate_base(t)
-    return rounded(distribution.summary_stats(base, ["tx_crimes_1000_hab", "qt_pessoas"]), SUMMARY)
+    described = ["tx_crimes_1000_hab", "qt_pessoas"]
+    base = scratch.materialize(rate_base(t).select(*described))
+    return rounded(distribution.summary_stats(base, described), SUMMARY)
 
 
 @query(
@@ -158,9 +161,6 @@ THEFT_BASE = (
     + _corr_sql(analysis.URBAN_RATIOS, "tx_crimes_1000_hab < 1500", "subset"),
 )
 def corr_subset(t):
-    from arealis.operators.rates import add_rates, count_events
-    from catalog.units import unit_tables
-
     thefts = count_events(t.adapter("occ"), "cd_setor", flags={"qt_furtos": "is_furto"})
     base = add_rates(thefts.join(unit_tables(t)["final"], "cd_setor"))
     below = F.col(analysis.TARGET_RATE) < analysis.TOP_RATE
@@ -175,4 +175,5 @@ def corr_subset(t):
 )
 def summary_populated(t):
     populated = population_floor(rate_base(t), analysis.POPULATION_FLOOR_DESCRIPTIVE)
-    return rounded(distribution.summary_stats(populated, [analysis.LOG_RATE]), SUMMARY)
+    base = scratch.materialize(populated.select(analysis.LOG_RATE))
+    return rounded(distribution.summary_stats(base, [analysis.LOG_RATE]), SUMMARY)
