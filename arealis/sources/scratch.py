@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A fresh folder name under ``spark.checkpoint.dir``; a local session may do without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="arealis-")
     return f"{root.rstrip('/')}/arealis-{uuid.uuid4().hex}"

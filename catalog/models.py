@@ -228,10 +228,10 @@ def ols_diagnostics(t):
     return rounded(regression.diagnostics(base, found).drop("condition_number"), DIAGNOSTICS)
 
 
-@query("regression_study")
+@query("regression_study", _model_table_sql())
 def regression_study(t):
-    """The whole study in its two passes; the main model's table stands for the rest."""
-    return study.regression_study(full_rate_base(t)).diagnostics
+    """The whole study, with its base computed once; the formatted table stands for the rest."""
+    return study.regression_study(full_rate_base(t)).final
 
 
 GRAM = ("l_quantity", "l_discount", "l_tax")

@@ -86,7 +86,8 @@ def rates_by_unit_period(t):
     FROM counted JOIN units ON counted.cd_setor = units.cd_setor""",
 )
 def rates_inner(t):
-    views.register_views(crimes=crimes(t), censo=t.adapter("units"))
+    occurrences = t.adapter("occ").withColumnRenamed("cd_setor", "SJ_CD_SETOR")
+    views.register_views(crimes=occurrences, censo=t.adapter("units"))
     rated = views.rates_of_thefts(t.spark)
     return rounded(
         rated.select("cd_setor", "nm_dist", "qt_pessoas", "total_crimes", "tx_crimes_1000_hab"),

@@ -22,7 +22,8 @@ class Tables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(adapters.SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def adapter(self, name: str) -> DataFrame:
         text = adapters.SQL[name]
