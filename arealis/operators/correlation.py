@@ -22,9 +22,13 @@ def pearson(a: Column, b: Column) -> Column:
 
 
 def correlate(
-    df: DataFrame, target: str, variables: Sequence[str], where: str | Column | None = None
+    df: DataFrame,
+    target: str,
+    variables: Sequence[str],
+    where: str | Column | None = None,
+    ascending: bool = False,
 ) -> DataFrame:
-    """(variable, r) rows, largest first; variables without a defined r are left out."""
+    """(variable, r) rows in order of r; variables without a defined r are left out."""
     require(df, [target, *variables])
     base = df if where is None else df.where(where)
     wide = base.agg(
@@ -37,5 +41,5 @@ def correlate(
     return (
         wide.select(F.inline(F.array(*lines)))
         .where("correlation IS NOT NULL")
-        .orderBy(F.desc("correlation"), "variable")
+        .orderBy(F.asc("correlation") if ascending else F.desc("correlation"), "variable")
     )

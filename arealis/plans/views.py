@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealis.operators.correlation import correlate
+from arealis.presets.analysis import TARGET_RATE, URBAN_VARIABLES
+
 # Fixed value: top districts by flagged events.
 TOP_DISTRICTS_SQL = """
     SELECT SJ_NM_DIST, count(*) AS total_crimes
@@ -47,3 +50,11 @@ def rates_of_thefts(spark: SparkSession) -> DataFrame:
 
 def events_per_year(spark: SparkSession) -> DataFrame:
     return spark.sql(EVENTS_PER_YEAR_SQL)
+
+
+def view_correlations(spark: SparkSession, view: str, where: str | None = None) -> DataFrame:
+    """Correlations of the urban variables with the rate in a view, under an SQL predicate.
+
+    The predicate is one expression over the view's columns; it cannot reach other tables' names.
+    """
+    return correlate(spark.table(view), TARGET_RATE, URBAN_VARIABLES, where, ascending=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from arealis.operators import correlation, distribution, quantiles
 from arealis.operators.rates import add_rates, count_events, population_floor
-from arealis.plans import study
+from arealis.plans import study, views
 from arealis.presets import analysis
 from arealis.sources import scratch
 from catalog.rates import BASE, FULL, FULL_BASE, OCC_UNITS, full_rate_base, rate_base
@@ -144,7 +144,8 @@ FILTER = "ds_situacao = 'Urbana' AND cd_tipo <> '0' AND tx_crimes_1000_hab < 150
 
 @query("corr_filtered", with_adapters(*FULL, then=FULL_BASE) + _corr_sql(analysis.URBAN_VARIABLES, FILTER))
 def corr_filtered(t):
-    return rounded(study.urban_correlations(full_rate_base(t), FILTER), ["correlation"])
+    views.register_views(analise=full_rate_base(t))
+    return rounded(views.view_correlations(t.spark, "analise", FILTER), ["correlation"])
 
 
 THEFT_BASE = (

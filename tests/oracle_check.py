@@ -41,8 +41,7 @@ def duck(folder: str):
     return con
 
 
-def compare(spark, con, name: str, folder: str) -> str:
-    df = QUERIES[name](spark, folder)
+def compare(con, name: str, df) -> str:
     got = rows_of(df.columns, df.collect())
     if name not in ORACLES:
         return f"rows only ({sum(got.values())})"
@@ -74,7 +73,7 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or QUERIES:
         start = time.time()
         try:
-            outcome = compare(spark, con, name, folder)
+            outcome = compare(con, name, QUERIES[name](spark, folder))
         except Exception as error:
             outcome = f"FAIL {type(error).__name__}: {str(error)[:600]}"
             if len(sys.argv) > 2:

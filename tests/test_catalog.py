@@ -20,7 +20,39 @@ def test_contract():
     assert entry.FLAGSHIP in entry.queries()
 
 
+# Operators that would gather data in one place, pair everything with everything or leave the JVM.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow", "Window")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    outcome = compare(spark, con, name, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
+    plan = plan_of(df)
+    assert [operator for operator in UNWANTED if operator in plan] == []
+    outcome = compare(con, name, df)
     assert outcome.startswith("ok" if name in ORACLES else "rows only"), outcome
+
+
+def test_flagship_counts_before_it_shuffles_and_joins(spark):
+    plan = plan_of(QUERIES["rates_by_unit_period"](spark, FOLDER))
+    events = plan[: plan.index("o_custkey")]
+    assert events.count("HashAggregate") >= 1
+    assert "LeftOuter" not in plan  # the null-rejecting filter makes the join inner
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "o_custkey" in line)
+    assert "o_totalprice" not in scan
+    assert "PushedFilters: [" in scan
+    assert "1-URGENT" in scan.split("PushedFilters")[1]
+
+
+def test_top_n_is_not_a_full_sort(spark):
+    assert "TakeOrderedAndProject" in plan_of(QUERIES["top_units_by_rate"](spark, FOLDER))
+
+
+def test_deduplication_shuffles_before_deriving(spark):
+    plan = plan_of(QUERIES["clean_occurrences"](spark, FOLDER))
+    (exchange,) = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "categoria_rubrica" not in exchange

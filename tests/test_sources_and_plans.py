@@ -249,3 +249,19 @@ def test_regression_study_end_to_end(spark):
     assert found.final.count() == 5
     assert found.coefficients.count() == found.p_values.count() == 5
     assert found.fit.count() == found.diagnostics.count() == 3
+
+
+def test_command_line(spark, tmp_path):
+    from arealis.__main__ import main
+
+    sheet = tmp_path / "criminalidade/raw/VeiculosSubtraidos_2020.csv"
+    sheet.parent.mkdir(parents=True)
+    sheet.write_bytes("DATA_OCORRENCIA_BO,RUBRICA\n2020-05-01,Furto\n".encode("latin-1"))
+    main(["clean", "--data", str(tmp_path), "--years", "2020"])
+    main(["split", "--data", str(tmp_path), "--years", "2020"])
+    split = tmp_path / "criminalidade/processed/veiculos_trimestre/veiculos_2020/trimestre=2"
+    assert list(split.glob("part-*.csv"))
+    with pytest.raises(FileNotFoundError):
+        main(["curate", "--data", str(tmp_path), "--years", "2020"])
+    with pytest.raises(ExceptionGroup):
+        main(["census", "--data", str(tmp_path), "--levels", "setor"])
