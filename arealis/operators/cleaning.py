@@ -51,8 +51,12 @@ def cast_coordinates(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def cast_flags(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Boolean flags, whatever text or number they were stored as."""
-    return map_present(df, names, casts.parse_flag)
+    """Boolean flags, whatever text or number they were stored as.
+
+    Columns that are boolean already stay untouched, so filters on them still reach the scan.
+    """
+    booleans = {field.name for field in df.schema.fields if isinstance(field.dataType, T.BooleanType)}
+    return map_present(df, [name for name in names if name not in booleans], casts.parse_flag)
 
 
 def add_hour(df: DataFrame, source: str, target: str) -> DataFrame:
