@@ -14,12 +14,12 @@ ISO_DATE_20XX = r"^20\d{2}-\d{2}-\d{2}"
 SLASH_DATE_20XX = r"^\d{2}/\d{2}/20\d{2}"
 ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?$"
 SLASH_MOMENT = r"^\d{2}/\d{2}/\d{4}( \d{2}:\d{2}:\d{2})?$"
-DIGITS = r"^\d+$"
-CLOCK_PREFIX = r"^\d{2}:\d{2}:\d{2}"
+DIGITS = r"^(\d+)$"
+CLOCK_PREFIX = r"^(\d{2}:\d{2}:\d{2})"
 CLOCK = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
-COORDINATE = r"^-?\d+(\.\d+)?$"
+COORDINATE = r"^(-?\d+(\.\d+)?)$"
 WHOLE_PART = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
-DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+DECIMAL = r"^\s*([+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?)\s*$"
 CENSUS_NULL_MARKS = ("X", "x", ".", "-", "")
 
 
@@ -27,6 +27,18 @@ def _text(value: Column) -> Column:
     return F.trim(value.cast("string"))
 
 
+def _matched(text: Column, pattern: str) -> Column:
+    """First group of a match, else an empty text, which no number cast accepts.
+
+    The text is computed once; a test followed by a cast would compute it twice.
+    """
+    return F.regexp_extract(text, pattern, 1)
+
+
+def _with_point(text: Column) -> Column:
+    return F.replace(text, F.lit(","), F.lit("."))
+
+
 def _slash_to_iso(text: Column) -> Column:
     return F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
 
@@ -50,14 +62,12 @@ def parse_timestamp(value: Column) -> Column:
 
 def parse_integer(value: Column) -> Column:
     """Digits only, to int; out of range is NULL."""
-    text = _text(value)
-    return F.when(text.rlike(DIGITS), text).try_cast("int")
+    return _matched(_text(value), DIGITS).try_cast("int")
 
 
 def parse_clock(value: Column) -> Column:
     """Keep the ``HH:mm:ss`` that opens the text. Ranges are not checked."""
-    text = _text(value)
-    return F.when(text.rlike(CLOCK_PREFIX), F.substring(text, 1, 8))
+    return F.nullif(_matched(_text(value), CLOCK_PREFIX), F.lit(""))
 
 
 def clock_hour(value: Column) -> Column:
@@ -67,14 +77,12 @@ def clock_hour(value: Column) -> Column:
 
 def parse_coordinate(value: Column) -> Column:
     """Plain decimal number with a comma or a point, to double."""
-    text = F.translate(_text(value), ",", ".")
-    return F.when(text.rlike(COORDINATE), text).try_cast("double")
+    return _matched(_with_point(_text(value)), COORDINATE).try_cast("double")
 
 
 def parse_number(value: Column) -> Column:
     """Any decimal number text to double; ``NaN``, ``Infinity`` and type suffixes are not numbers."""
-    text = value.cast("string")
-    return F.when(text.rlike(DECIMAL), text).try_cast("double")
+    return _matched(value.cast("string"), DECIMAL).try_cast("double")
 
 
 def parse_flag(value: Column) -> Column:
@@ -90,9 +98,9 @@ def census_text(value: Column) -> Column:
 
 def census_bigint(value: Column) -> Column:
     """Census whole number; a decimal part is cut off. The null marks are not numbers."""
-    return F.regexp_extract(value, WHOLE_PART, 1).try_cast("bigint")
+    return _matched(value, WHOLE_PART).try_cast("bigint")
 
 
 def census_double(value: Column) -> Column:
     """Census decimal number, written with a comma or a point. The null marks are not numbers."""
-    return parse_number(F.translate(value, ",", "."))
+    return parse_number(_with_point(value))

@@ -35,14 +35,9 @@ def quantile_table(
     df: DataFrame, name: str, probabilities: Sequence[float], small: int = SMALL
 ) -> DataFrame:
     """One row per probability with the exact, linearly interpolated quantile."""
-    values = _values(df, name)
-    if values.count() <= small:
-        picked = F.percentile("v", list(probabilities))
-        return values.agg(picked.alias("q")).select(_rows(F.col("q"), probabilities))
     found = exact_quantiles(df, name, probabilities, small)
-    return df.sparkSession.range(1).select(
-        _rows(F.array(*[F.lit(value) for value in found]), probabilities)
-    )
+    quantiles = F.array(*[F.lit(value).cast("double") for value in found])
+    return df.sparkSession.range(1).select(_rows(quantiles, probabilities))
 
 
 def exact_quantiles(
@@ -110,6 +105,7 @@ def _order_statistics(
     while sum(bracket.size for bracket in brackets) > small:
         try:
             brackets = _count_inside(values, _sketch_bounds(values, brackets, margin), found)
+            margin = 2.0
         except _BoundMissed:
             margin *= 2
     if brackets:

@@ -45,11 +45,19 @@ def test_quantiles_of_nothing(spark):
 
 
 def test_brackets_recover_from_a_bad_sketch(spark, monkeypatch):
-    """With a coarse sketch the bounds miss at first; the answer stays exact."""
-    monkeypatch.setattr(quantiles, "ACCURACY", 8)
+    """Bounds on the wrong side of a rank are noticed and drawn again, wider."""
+    honest, margins = quantiles._sketch_bounds, []
+
+    def wrong_at_first(values, brackets, margin):
+        margins.append(margin)
+        bounds = honest(values, brackets, margin)
+        return [(low + 1e6, high + 1e6, ranks) for low, high, ranks in bounds] if len(margins) == 1 else bounds
+
+    monkeypatch.setattr(quantiles, "_sketch_bounds", wrong_at_first)
     values = hot(2000)
-    got = quantiles.exact_quantiles(frame(spark, values), "v", LEVELS, 20)
+    got = quantiles.exact_quantiles(frame(spark, values), "v", LEVELS, 100)
     assert got == pytest.approx(list(np.quantile(values, LEVELS)), abs=1e-9)
+    assert margins[:2] == [2.0, 4.0]
 
 
 def test_approximate_quantiles_are_near(spark):
