@@ -15,8 +15,6 @@ def get_spark(app_name: str = "arealis", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # The JVM does not compile methods over 8000 bytes; wide projections run faster unfused.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Call-site capture multiplies the driver's work on plans with hundreds of columns.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
