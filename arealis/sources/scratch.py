@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_seen: set[str] = set()
+
+
+def _root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/arealis-{spark.sparkContext.applicationId}"
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder name under ``spark.checkpoint.dir``; a local session may do without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="arealis-")
-    return f"{root.rstrip('/')}/arealis-{uuid.uuid4().hex}"
+    """A fresh folder name under ``spark.checkpoint.dir``, else under the warehouse folder.
+
+    Both are shared by all executors of a cluster. ``clear_scratch`` removes what one application
+    wrote there; it also runs when the driver's interpreter ends.
+    """
+    root = _root(spark)
+    if root not in _seen:
+        _seen.add(root)
+        atexit.register(_clear_at_exit, spark)
+    return f"{root}/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, **options: str) -> DataFrame:
     """Write a table once and read it back, for several later passes.
 
     Losing an executor costs a re-read of files, not the plan behind them.
     """
     path = f"{shared_folder(df.sparkSession)}/table"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; frames that read them end here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        clear_scratch(spark)
