@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from arealis.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding
+from arealis.llm import (
+    exact_dedup,
+    html_extract,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    rules,
+    sharding,
+    toxicity,
+    warc,
+)
 from arealis.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +35,18 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, folder, "documents"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Both digest columns come from the archives: from the payload, or from a revisit's header."""
+    archive = warc.write_warc(read_table(spark, folder, "pages"))
+    return warc.records(warc.read_warc(spark, archive)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(read_table(spark, folder, "pages"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
@@ -36,6 +59,14 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, folder, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.report(read_table(spark, folder, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     shards = sharding.shuffle_into_shards(read_table(spark, folder, "documents"))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -53,9 +84,13 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_warc": op3_warc,
+    "op4_html_extract": op4_html_extract,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
     "pipeline": corpus_pipeline.run,
 }
@@ -68,4 +103,46 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    # Of equal payloads of 100 bytes or more, the smallest page_id is the response.
+    "op3_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+        r AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d),
+        m AS (SELECT *, n >= 100 AND first <> page_id AS again FROM r)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to
+        FROM m
+    """,
+    # Every rule written out again; windows of eight words are compared as text.
+    "op8_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+        l AS (SELECT doc_id, list_filter(string_split(t, chr(10)),
+                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+        windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS window_text
+              FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM w WHERE len(ws) > 7)),
+        twice AS (SELECT doc_id, unnest(generate_series(i, i + 7)) AS at FROM
+              (SELECT *, count(*) OVER (PARTITION BY doc_id, window_text) AS c FROM windows) WHERE c > 1),
+        covered AS (SELECT doc_id, count(DISTINCT at) AS c FROM twice GROUP BY doc_id),
+        m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                coalesce(c, 0)::BIGINT AS n_repeat_words,
+                len(regexp_extract_all(t, '[A-Z]'))::BIGINT AS n_capitals,
+                len(ls)::BIGINT AS n_lines,
+                len(list_filter(generate_series(1, len(ws) - 1), i -> ws[i] = ws[i + 1]))::BIGINT AS n_stutters
+              FROM w JOIN l USING (doc_id) LEFT JOIN covered USING (doc_id)),
+        f AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END)
+                + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
+                + (CASE WHEN 100 * n_symbols > 30 * n_words THEN 4 ELSE 0 END)
+                + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
+                + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
+                + (CASE WHEN 100 * n_capitals > 60 * word_chars THEN 32 ELSE 0 END)
+                + (CASE WHEN 100 * n_stutters > 50 * n_words THEN 64 ELSE 0 END) AS bits FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines, n_stutters,
+               bits::BIGINT AS failures, bits = 0 AS kept,
+               n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
+        FROM f
+    """,
 }
