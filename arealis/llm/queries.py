@@ -119,19 +119,19 @@ ORACLES = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
         l AS (SELECT doc_id, list_filter(string_split(t, chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
         windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS window_text
               FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM w WHERE len(ws) > 7)),
-        twice AS (SELECT doc_id, unnest(generate_series(i, i + 7)) AS at FROM
+        twice AS (SELECT doc_id, unnest(generate_series(i, i + 7)) AS place FROM
               (SELECT *, count(*) OVER (PARTITION BY doc_id, window_text) AS c FROM windows) WHERE c > 1),
-        covered AS (SELECT doc_id, count(DISTINCT at) AS c FROM twice GROUP BY doc_id),
+        covered AS (SELECT doc_id, count(DISTINCT place) AS c FROM twice GROUP BY doc_id),
         m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
                 len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
                 coalesce(c, 0)::BIGINT AS n_repeat_words,
                 len(regexp_extract_all(t, '[A-Z]'))::BIGINT AS n_capitals,
                 len(ls)::BIGINT AS n_lines,
-                len(list_filter(generate_series(1, len(ws) - 1), i -> ws[i] = ws[i + 1]))::BIGINT AS n_stutters
+                len(list_filter(generate_series(1, len(ws) - 1), lambda i: ws[i] = ws[i + 1]))::BIGINT AS n_stutters
               FROM w JOIN l USING (doc_id) LEFT JOIN covered USING (doc_id)),
         f AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END)
                 + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
