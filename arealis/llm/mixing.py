@@ -4,12 +4,13 @@ Every source queues its shuffled documents, once more for each allowed repeat. A
 the source's words up to its end divided by the source's target. All copies, sorted globally by finish time, are
 taken until the total budget is spent, so every source is served in proportion to its target at every moment.
 
-Running sums are taken in two levels: within slices of bounded size, and over the sums of the slices. No task
-holds a source, whatever its share.
+Running sums are taken in two levels: within slices, and over the sums of the slices. There are as many slices as
+rows in one, the square root of all rows, so no task holds a source, whatever its share.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -22,7 +23,6 @@ from arealis.sources.scratch import materialize
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 REPEATS = 2
-SLICE_ROWS = 20_000
 
 
 def source_targets(
@@ -64,7 +64,6 @@ def mix_plan(
     budget: float = BUDGET,
     repeats: int = REPEATS,
     seed: int = 7,
-    slice_rows: int = SLICE_ROWS,
     row: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Which copies of which rows the mix takes.
@@ -93,7 +92,7 @@ def mix_plan(
     )
     rows = rows.join(F.broadcast(table), "src")  # one row for each source
     n = sum(r.n for r in found)
-    slices = max(1, repeats * n // slice_rows)
+    slices = max(1, math.isqrt(repeats * n))
     copies = (
         rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
         .withColumn("_hash", F.xxhash64(F.lit(seed), "repeat", "key", "size"))

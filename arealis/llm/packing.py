@@ -10,6 +10,7 @@ which is what the sequential method would do. Every such step uses up a length,
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Iterator
 
@@ -22,7 +23,6 @@ from arealis.sources.scratch import materialize
 
 CAPACITY = 2048
 SEPARATOR = 0
-SLICE_ROWS = 20_000
 CACHE_WORDS = 400_000
 DOCS_AT_ONCE = 256
 
@@ -174,7 +174,7 @@ def pack(
     cut = materialize(pieces(docs, tokenizer, key, text, capacity), compression="zstd")
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     places = _places(plan_bins(counts, capacity))
-    slices = max(1, sum(counts.values()) // SLICE_ROWS)
+    slices = max(1, math.isqrt(sum(counts.values())))
     # Rank among equal lengths in two levels: a length may hold a third of all pieces.
     narrow = cut.select("row", "piece", "length").withColumn("_slice", F.pmod(F.xxhash64("row", "piece"), F.lit(slices)))
     per_slice = narrow.groupBy("length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
