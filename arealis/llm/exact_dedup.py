@@ -85,12 +85,13 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     narrow = docs.select(
         F.col(key).alias("_id"),
         sha256_hex(whole).alias("_digest"),
-        F.struct(F.col(text).isNull().alias("_null"), *others).alias("_rest"),
+        F.col(text).isNull().alias("_null"),
+        F.struct(*(others or [F.lit(0)])).alias("_rest"),
     )
-    narrow = narrow.groupBy("_id", "_digest").agg(F.min("_rest").alias("_rest"))
+    narrow = narrow.groupBy("_id", "_digest").agg(F.min("_null").alias("_null"), F.min("_rest").alias("_rest"))
     winners = combine(docs, key, text).select(
         F.col("keep_id").alias("_keep"), F.col("digest").alias("_found"), F.col("text").alias("_text")
     )
     joined = winners.join(narrow, F.col("_keep").eqNullSafe(F.col("_id")) & (F.col("_found") == F.col("_digest")))
-    columns = {key: F.col("_keep"), text: F.when(~F.col("_rest._null"), F.col("_text"))}
+    columns = {key: F.col("_keep"), text: F.when(~F.col("_null"), F.col("_text"))}
     return joined.select(*[columns.get(name, F.col("_rest")[name]).alias(name) for name in docs.columns])

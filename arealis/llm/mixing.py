@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealis.llm.common import word_count
@@ -64,30 +64,32 @@ def mix_plan(
     budget: float = BUDGET,
     repeats: int = REPEATS,
     seed: int = 7,
-    row: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Which copies of which rows the mix takes.
 
-    Returns two tables. ``rows`` has one row for every row of ``docs``: ``row`` (column ``row``, or a number given here), ``key``, ``size`` (words),
+    Returns two tables. ``rows`` has one row for every row of ``docs``: ``row`` (a number), ``key``, ``size`` (words),
     ``source_size``, ``target`` of its source. ``taken`` has one row for every copy taken: ``row, key,
     repeat, finish``. Null sources are one source, the last in order; null texts have size 0. Documents are taken
     whole, so a source misses its target by less than two documents. Rows that repeat everything are documents of
     their own. The order depends on the seed, key and size only, so reruns agree. An empty table gives two empty
     tables. Sources are few (the weights name them); their totals are the only thing that the driver sees.
+    Other columns are ignored.
     """
-    spark = docs.sparkSession
-    rows = materialize(
-        docs.select(
-            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
-            F.col(key).alias("key"),
-            F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("src"),
-            word_count(F.col(text)).alias("size"),
-        )
-    )
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *_narrow(F.col(key), F.col(text), F.col(source)))
+    return _plan(materialize(rows), weights, budget, repeats, seed)
+
+
+def _narrow(key: Column, text: Column, source: Column) -> list[Column]:
+    named = F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+    return [key.alias("key"), named.alias("src"), word_count(text).alias("size")]
+
+
+def _plan(rows: DataFrame, weights: Sequence[float], budget: float, repeats: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The plan for stored rows ``row, key, src, size``."""
     found = rows.groupBy("src").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     totals = sorted(found, key=lambda r: (r.src == "", r.src.encode("utf-8")))
     targets = source_targets([r["size"] for r in totals], weights, budget, repeats)
-    table = spark.createDataFrame(
+    table = rows.sparkSession.createDataFrame(
         [(r.src, r["size"], t) for r, t in zip(totals, targets, strict=True)], "src string, source_size long, target double"
     )
     rows = rows.join(F.broadcast(table), "src")  # one row for each source
@@ -123,9 +125,18 @@ def mix_report(docs: DataFrame, **settings) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, **settings) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[float] = WEIGHTS,
+    budget: float = BUDGET,
+    repeats: int = REPEATS,
+    seed: int = 7,
+) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken, range-sorted by finish time."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
-    _, taken = mix_plan(numbered, row="_row", **settings)
-    copies = taken.select(F.col("row").alias("_row"), F.col("repeat").alias("_repeat"), F.col("finish").alias("_finish"))
-    return numbered.join(copies, "_row").orderBy("_finish", "_row", "_repeat").select(docs.columns)
+    numbered = materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    parts = [F.col("doc")[name] for name in (key, text, source)]
+    _, taken = _plan(materialize(numbered.select("row", *_narrow(*parts))), weights, budget, repeats, seed)
+    return numbered.join(taken.drop("key"), "row").orderBy("finish", "row", "repeat").select("doc.*")

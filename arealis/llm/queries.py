@@ -24,7 +24,8 @@ from arealis.llm import (
 )
 from arealis.llm.common import read_table
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# The vocabulary of byte_bpe_50k.json as ranks: the same ids.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(read_table(spark, folder, "documents"), TOKENIZER).drop("ids")
+    return packing.pack(read_table(spark, folder, "documents"), *TOKENIZER).drop("ids")
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:

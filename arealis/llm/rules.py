@@ -10,22 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm.common import SPACES, words
+from arealis.sources.scratch import materialize
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-_per_word = F.greatest(F.col("n_words"), F.lit(1))
-
-# Name and failure condition; the place in the list is the bit. Append only: stored ledgers keep their meaning.
-RULES: list[tuple[str, Column]] = [
-    ("few_words", F.col("n_words") < 20),
-    ("repeated_words", F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
-    ("symbols", F.col("n_symbols") * 100 > F.col("n_words") * 30),
-    ("duplicate_lines", F.col("n_dup_lines") * 100 > F.col("n_lines") * 50),
-    ("word_length", (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
-    ("capitals", F.col("n_capitals") * 100 > F.col("word_chars") * 60),
-    ("stuttering", F.col("n_stutters") * 100 > F.col("n_words") * 50),
+# Name and failure condition over the measurements; the place in the list is the bit. Append only: stored ledgers
+# keep their meaning.
+RULES = [
+    ("few_words", "n_words < 20"),
+    ("repeated_words", "n_repeat_words * 100 > n_words * 30"),
+    ("symbols", "n_symbols * 100 > n_words * 30"),
+    ("duplicate_lines", "n_dup_lines * 100 > n_lines * 50"),
+    ("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
+    ("capitals", "n_capitals * 100 > word_chars * 60"),
+    ("stuttering", "n_stutters * 100 > n_words * 50"),
 ]
 
 # Masks over the bits above. The base policy is part of every other one.
@@ -80,17 +80,17 @@ MEASUREMENTS = (
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, the measurements and ``failures`` (bit i: rule i failed) of every row.
+    """``key``, the measurements and ``failures`` (bit i: rule i failed) of every row, as a stored table.
 
     A null text is empty, an empty text fails ``few_words`` only. Texts of any length are measured whole; repeated
     rows and null keys are rows like any other; other columns are ignored; an empty table gives an empty ledger.
     """
     measured = measure(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")), "_text")
-    bits = [F.when(failed, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, failed) in enumerate(RULES)]
+    bits = [F.when(F.expr(failed), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, failed) in enumerate(RULES)]
     failures = bits[0]
     for bit in bits[1:]:
         failures = failures.bitwiseOR(bit)
-    return measured.select(F.col("_id").alias(key), *MEASUREMENTS, failures.cast("long").alias("failures"))
+    return materialize(measured.select(F.col("_id").alias(key), *MEASUREMENTS, failures.cast("long").alias("failures")))
 
 
 def apply_policy(book: DataFrame, version: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from arealis.sources.scratch import materialize, shared_folder
 
 BUCKET_BYTES = 8 << 20
+BLOCK_COPIES = 10_000
 
 
 def shuffle_into_shards(
@@ -29,8 +30,9 @@ def shuffle_into_shards(
     The files lie in one folder ``_shard=N`` per shard; ``_slot`` is the row's place there, gapless from 0. Law
     ``rows``: the shards' row counts are at most one apart. Null keys and null texts are records like any other.
     Key and text are hashed, so neither a key nor a text that a third of the rows share fills a bucket; rows that
-    repeat both are counted first and scatter copy by copy. An empty table gives no rows. A bucket is larger than
-    ``bucket_bytes`` (on average) only by chance or by a single larger record.
+    repeat both are counted first and scatter copy by copy. An empty table gives no rows. Buckets have
+    ``bucket_bytes`` on average; a single larger record makes a larger bucket. Columns of ``docs`` that are named
+    like the two added ones are replaced.
     """
     spark = docs.sparkSession
     path = path or f"{shared_folder(spark)}/shards"
@@ -56,13 +58,16 @@ def shuffle_into_shards(
         .agg(F.sort_array(F.collect_list(F.struct("_hash", "_row"))).alias("_records"))
         .withColumn("_records", F.shuffle("_records", seed))
     )
+    shard = f"(_start + _at) * {shards} div {max(rows, 1)}"
+    slot = f"_start + _at - (({shard}) * {rows}L + {shards - 1}) div {shards}"
     placed = (
         shuffled.join(starts, "_bucket")
         .select("_start", F.posexplode("_records").alias("_at", "_record"))
-        .select("_record._row.*", (F.col("_start") + F.col("_at")).alias("_position"))
-        .withColumn("_shard", F.expr(f"int(_position * {shards} div {max(rows, 1)})"))
-        .withColumn("_slot", F.expr(f"_position - (_shard * {rows}L + {shards - 1}) div {shards}"))
-        .drop("_position")
+        .select(
+            *[F.col("_record._row")[name].alias(name) for name in docs.columns if name not in ("_shard", "_slot")],
+            F.expr(shard).cast("int").alias("_shard"),
+            F.expr(slot).alias("_slot"),
+        )
     )
     placed.write.partitionBy("_shard").parquet(path)
     return spark.read.schema(placed.schema).parquet(path)
@@ -72,6 +77,10 @@ def _numbered_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_row, _copy``: rows as structs; rows that repeat key and text are numbered, others have 0."""
     seen = docs.groupBy(F.xxhash64(key, text)).agg(F.count(F.lit(1)).alias("n"))
     if seen.filter("n > 1").isEmpty():
-        return docs.select(F.struct("*").alias("_row"), F.lit(0).alias("_copy"))
-    counted = docs.groupBy(F.struct("*").alias("_row")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    return counted.select("_row", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_copy"))
+        return docs.select(F.struct("*").alias("_row"), F.lit(0).cast("long").alias("_copy"))
+    counted = docs.select(F.struct("*").alias("_row")).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    # In blocks, so that the copies of one row are numbered by many tasks.
+    block = F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK_COPIES})")).alias("_block")
+    blocks = counted.select("_row", "_n", block).repartition("_row", "_block")
+    copy = F.expr(f"sequence(_block * {BLOCK_COPIES}, least(_n, (_block + 1) * {BLOCK_COPIES}) - 1)")
+    return blocks.select("_row", F.explode(copy).alias("_copy"))
