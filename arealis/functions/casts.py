@@ -86,8 +86,9 @@ def parse_number(value: Column) -> Column:
 
 
 def parse_flag(value: Column) -> Column:
-    """Boolean from a boolean, a 0/1 number or a ``true``/``1``/… text."""
-    return F.trim(value.cast("string")).try_cast("boolean")
+    """Boolean from a boolean, a number (true unless zero) or a text: ``true``, ``yes``, ``1``, ``1.0`` and so on."""
+    text = F.trim(value.cast("string"))
+    return F.coalesce(text.try_cast("boolean"), parse_number(text) != 0)
 
 
 def census_text(value: Column) -> Column:

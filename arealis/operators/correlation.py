@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,3 +43,15 @@ def correlate(
         .where("correlation IS NOT NULL")
         .orderBy(F.asc("correlation") if ascending else F.desc("correlation"), "variable")
     )
+
+
+def correlate_groups(
+    df: DataFrame, target: str, groups: Mapping[str, Sequence[str]], where: str | Column | None = None
+) -> DataFrame:
+    """(variable_group, variable, r) for named groups of variables, all from one aggregation."""
+    everything = list(dict.fromkeys(name for names in groups.values() for name in names))
+    places = [F.when(F.col("variable").isin(*names), F.lit(group)) for group, names in groups.items()]
+    found = correlate(df, target, everything, where)
+    return found.select(
+        F.explode(F.array_compact(F.array(*places))).alias("variable_group"), "variable", "correlation"
+    )

@@ -8,30 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealis.functions.text import column
-from arealis.operators.quantiles import SMALL, exact_quantiles
+from arealis.operators.quantiles import exact_quantiles, finite, quantiles_of_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
 
 
-def summary_stats(df: DataFrame, names: Sequence[str], small: int = SMALL) -> DataFrame:
-    """Count, mean, standard deviation, extremes and exact quartiles, one row per column."""
-    rows = df.count()
+def summary_stats(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Count, mean, standard deviation, extremes and exact quartiles, one row per column.
+
+    Only finite values count. The quartiles of all columns are found together.
+    """
+    quartiles = quantiles_of_columns(df, {name: QUARTILES for name in names})
     aggregates = []
     for i, name in enumerate(names):
-        value = column(name).cast("double")
-        if rows <= small:
-            quartiles = F.percentile(value, list(QUARTILES))
-        else:
-            known = [F.lit(q).cast("double") for q in exact_quantiles(df, name, QUARTILES, small)]
-            quartiles = F.first(F.array(*known))
+        value = finite(column(name))
+        known = F.array(*[F.lit(q).cast("double") for q in quartiles[name]])
         aggregates.append(
             F.struct(
                 F.count(value).alias("count"),
                 F.avg(value).alias("mean"),
                 F.stddev(value).alias("stddev"),
                 F.min(value).alias("min"),
-                quartiles.alias("q"),
+                F.first(known).alias("q"),
                 F.max(value).alias("max"),
             ).alias(f"s{i}")
         )
@@ -51,11 +50,14 @@ def histogram(df: DataFrame, name: str, bins: int = 50, at_most: float | None =
     """Equal-width bins from the smallest to the largest value, the last bin closed.
 
     Empty bins are listed with zero. When all values are equal the range is half a unit to each
-    side, so one bin holds them all. ``at_most`` leaves out larger values first.
+    side, so one bin holds them all. ``at_most`` leaves out larger values first. Bins hold finite values;
+    ``not_finite``, the same in every row, counts the NaN and infinite values left beside them.
     """
-    values = df.select(column(name).cast("double").alias("v")).where("v IS NOT NULL")
+    every = df.select(column(name).cast("double").alias("v")).where("v IS NOT NULL")
     if at_most is not None:
-        values = values.where(F.col("v") <= F.lit(at_most))
+        every = every.where(F.col("v") <= F.lit(at_most))
+    beside = every.agg(F.count_if(finite(F.col("v")).isNull())).scalar()
+    values = every.select(finite(F.col("v")).alias("v")).where("v IS NOT NULL")
     span = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     low, high = span.getField("lo"), span.getField("hi")
     pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
@@ -87,17 +89,16 @@ def histogram(df: DataFrame, name: str, bins: int = 50, at_most: float | None =
         edge(F.col("bin")).alias("lower"),
         edge(F.col("bin") + 1).alias("upper"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        beside.alias("not_finite"),
     )
 
 
-def box_stats(
-    df: DataFrame, name: str, at_most: float | None = None, small: int = SMALL
-) -> DataFrame:
-    """Quartiles, whiskers at the last value within 1.5 IQR, and the number of values outside."""
-    values = df.select(column(name).cast("double").alias("v")).where("v IS NOT NULL")
+def box_stats(df: DataFrame, name: str, at_most: float | None = None) -> DataFrame:
+    """Quartiles, whiskers at the last value within 1.5 IQR, and the number of finite values outside."""
+    values = df.select(finite(column(name)).alias("v")).where("v IS NOT NULL")
     if at_most is not None:
         values = values.where(F.col("v") <= F.lit(at_most))
-    q1, median, q3 = [F.lit(q).cast("double") for q in exact_quantiles(values, "v", QUARTILES, small)]
+    q1, median, q3 = [F.lit(q).cast("double") for q in exact_quantiles(values, "v", QUARTILES)]
     reach = (q3 - q1) * WHISKER
     value = F.col("v")
     inside = values.agg(

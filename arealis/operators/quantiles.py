@@ -1,68 +1,78 @@
-"""Exact quantiles at any size.
+"""Exact quantiles of many columns at once, in the same way at any size.
 
-Spark's exact ``percentile`` keeps a map of all distinct values in one task. That is used only when
-the measured number of values is small. Beyond it the wanted order statistics are bracketed with
-the mergeable sketch, the brackets are checked with exact counts, and only the values inside them
-are grouped and ranked. A round shrinks a bracket by a factor of about ``ACCURACY / 4``.
+The wanted order statistics are bracketed with mergeable sketches, the brackets are checked with exact counts, and
+only what lies inside them is looked at again. A round shrinks a bracket by a factor of about ``ACCURACY / 4``; a
+bracket of fewer than ``ACCURACY`` values is settled in one. All columns share the passes. No task holds a column's
+values, and the driver sees a few numbers per quantile.
+
+Only finite values count: NaN and the infinities are left out like NULL.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from arealis.functions.text import column
 
-SMALL = 1_000_000
 ACCURACY = 10_000
 
 
+def finite(value: Column) -> Column:
+    """The value as a double; NULL for NaN and the infinities."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(math.inf)), number)
+
+
 def approximate_quantiles(
     df: DataFrame, name: str, probabilities: Sequence[float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """One row per probability, rank error at most 1/accuracy, one pass."""
-    picked = F.percentile_approx(column(name), list(probabilities), accuracy)
+    picked = F.percentile_approx(finite(column(name)), list(probabilities), accuracy)
     return df.agg(picked.alias("q")).select(_rows(F.col("q"), probabilities))
 
 
-def quantile_table(
-    df: DataFrame, name: str, probabilities: Sequence[float], small: int = SMALL
-) -> DataFrame:
+def quantile_table(df: DataFrame, name: str, probabilities: Sequence[float]) -> DataFrame:
     """One row per probability with the exact, linearly interpolated quantile."""
-    found = exact_quantiles(df, name, probabilities, small)
+    found = exact_quantiles(df, name, probabilities)
     quantiles = F.array(*[F.lit(value).cast("double") for value in found])
     return df.sparkSession.range(1).select(_rows(quantiles, probabilities))
 
 
-def exact_quantiles(
-    df: DataFrame, name: str, probabilities: Sequence[float], small: int = SMALL
-) -> list[float | None]:
+def exact_quantiles(df: DataFrame, name: str, probabilities: Sequence[float]) -> list[float | None]:
     """The exact quantiles as numbers, for use as thresholds in later queries."""
-    values = _values(df, name)
-    n = values.count()
-    if n == 0:
-        return [None] * len(probabilities)
-    if n <= small:
-        return list(values.agg(F.percentile("v", list(probabilities))).first()[0])
-    positions = [p * (n - 1) for p in probabilities]
-    ranks = {rank for at in positions for rank in (math.floor(at), math.ceil(at))}
-    at_rank = _order_statistics(values, n, sorted(ranks), small)
-
-    def interpolate(at: float) -> float:
-        low, high = at_rank[math.floor(at)], at_rank[math.ceil(at)]
+    return quantiles_of_columns(df, {name: probabilities})[name]
+
+
+def quantiles_of_columns(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]]
+) -> dict[str, list[float | None]]:
+    """Exact, linearly interpolated quantiles of several columns; None for a column without values."""
+    values = df.select(*[finite(column(name)).alias(f"v{i}") for i, name in enumerate(wanted)])
+    ends = values.agg(
+        *[f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(len(wanted)) for f in (F.count, F.min, F.max)]
+    ).first()
+    sizes = [ends[f"count{i}"] for i in range(len(wanted))]
+    positions = [[p * (n - 1) for p in levels] for n, levels in zip(sizes, wanted.values(), strict=True)]
+    bounds = [
+        (i, ends[f"min{i}"], ends[f"max{i}"], sorted({f(at) for at in positions[i] for f in (math.floor, math.ceil)}))
+        for i, n in enumerate(sizes)
+        if n
+    ]
+    at_rank = _order_statistics(values, bounds)
+
+    def interpolate(i: int, at: float) -> float:
+        low, high = at_rank[i, math.floor(at)], at_rank[i, math.ceil(at)]
         return low + (high - low) * (at - math.floor(at))
 
-    return [interpolate(at) for at in positions]
-
-
-def _values(df: DataFrame, name: str) -> DataFrame:
-    return df.select(column(name).cast("double").alias("v")).where("v IS NOT NULL")
+    return {
+        name: [interpolate(i, at) if sizes[i] else None for at in positions[i]]
+        for i, name in enumerate(wanted)
+    }
 
 
 def _rows(quantiles: Column, probabilities: Sequence[float]) -> Column:
@@ -80,76 +90,75 @@ class _BoundMissed(Exception):
     """A sketch placed a bound on the wrong side of a wanted rank."""
 
 
+# Closed bounds: the column's number, the lowest and the highest value, the 0-based ranks in between.
+_Bounds = tuple[int, float, float, list[int]]
+
+
 @dataclass
 class _Bracket:
-    """Values strictly between ``low`` and ``high``; ``below`` values lie at or under ``low``."""
+    """Values of a column strictly between ``low`` and ``high``; ``below`` values lie at or under ``low``."""
 
+    column: int
     low: float
     high: float
     below: int
     size: int
     ranks: list[int]
 
-    def holds(self, value: Column) -> Column:
-        return (value > F.lit(self.low)) & (value < F.lit(self.high))
+    def inside(self) -> Column:
+        value = F.col(f"v{self.column}")
+        return F.when((value > F.lit(self.low)) & (value < F.lit(self.high)), value)
 
 
-def _order_statistics(
-    values: DataFrame, n: int, ranks: list[int], small: int
-) -> dict[int, float]:
-    """Values at the given 0-based ranks of the sorted, non-null values."""
-    found: dict[int, float] = {}
-    ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
-    brackets = _count_inside(values, [(ends.low, ends.high, ranks)], found)
+def _order_statistics(values: DataFrame, bounds: list[_Bounds]) -> dict[tuple[int, int], float]:
+    """Values by column number and 0-based rank among the column's finite values."""
+    found: dict[tuple[int, int], float] = {}
+    brackets = _count_inside(values, bounds, found) if bounds else []
     margin = 2.0
-    while sum(bracket.size for bracket in brackets) > small:
+    while brackets:
         try:
             brackets = _count_inside(values, _sketch_bounds(values, brackets, margin), found)
             margin = 2.0
         except _BoundMissed:
             margin *= 2
-    if brackets:
-        found.update(_rank_inside(values, brackets))
     return found
 
 
-def _sketch_bounds(
-    values: DataFrame, brackets: list[_Bracket], margin: float
-) -> list[tuple[float, float, list[int]]]:
+def _sketch_bounds(values: DataFrame, brackets: list[_Bracket], margin: float) -> list[_Bounds]:
     """Tighter closed bounds, from one sketch per bracket; bounds that overlap become one."""
     sketches = []
     for index, bracket in enumerate(brackets):
-        slack = margin / ACCURACY + margin / bracket.size
-        shares = [(rank - bracket.below) / bracket.size for rank in bracket.ranks]
-        around = [min(1.0, max(0.0, share + side)) for share in shares for side in (-slack, slack)]
-        inside = F.when(bracket.holds(F.col("v")), F.col("v"))
-        sketches.append(F.percentile_approx(inside, around, ACCURACY).alias(f"s{index}"))
+        # A sketch of fewer values than its accuracy is exact, so its bounds need no room.
+        room = math.floor(margin * bracket.size / ACCURACY + margin / 2 - 1)
+        places = [rank - bracket.below + 0.5 + side for rank in bracket.ranks for side in (-room, room)]
+        around = [min(1.0, max(0.0, place / bracket.size)) for place in places]
+        sketches.append(F.percentile_approx(bracket.inside(), around, ACCURACY).alias(f"s{index}"))
     row = values.agg(*sketches).first()
     bounds = sorted(
-        (row[index][2 * k], row[index][2 * k + 1], rank)
+        (bracket.column, row[index][2 * k], row[index][2 * k + 1], rank)
         for index, bracket in enumerate(brackets)
         for k, rank in enumerate(bracket.ranks)
     )
-    merged: list[tuple[float, float, list[int]]] = []
-    for low, high, rank in bounds:
-        if merged and low <= merged[-1][1]:
-            first, last, ranks = merged.pop()
-            merged.append((first, max(last, high), [*ranks, rank]))
+    merged: list[_Bounds] = []
+    for number, low, high, rank in bounds:
+        if merged and number == merged[-1][0] and low <= merged[-1][2]:
+            _, first, last, ranks = merged.pop()
+            merged.append((number, first, max(last, high), [*ranks, rank]))
         else:
-            merged.append((low, high, [rank]))
+            merged.append((number, low, high, [rank]))
     return merged
 
 
 def _count_inside(
-    values: DataFrame, bounds: list[tuple[float, float, list[int]]], found: dict[int, float]
+    values: DataFrame, bounds: list[_Bounds], found: dict[tuple[int, int], float]
 ) -> list[_Bracket]:
     """Exact counts for closed bounds; ranks that fall on a bound are settled at once.
 
     The bounds themselves may be hot values, so the brackets that remain leave them out.
     """
-    value = F.col("v")
     counters = []
-    for index, (low, high, _) in enumerate(bounds):
+    for index, (number, low, high, _) in enumerate(bounds):
+        value = F.col(f"v{number}")
         counters += [
             F.count_if(value < F.lit(low)).alias(f"under{index}"),
             F.count_if(value <= F.lit(low)).alias(f"low{index}"),
@@ -157,56 +166,19 @@ def _count_inside(
             F.count_if(value <= F.lit(high)).alias(f"high{index}"),
         ]
     row = values.agg(*counters).first()
-    for index, (_, _, ranks) in enumerate(bounds):
+    for index, (_, _, _, ranks) in enumerate(bounds):
         if not all(row[f"under{index}"] <= rank < row[f"high{index}"] for rank in ranks):
             raise _BoundMissed
     brackets: list[_Bracket] = []
-    for index, (low, high, ranks) in enumerate(bounds):
-        brackets += _settle(row, index, low, high, ranks, found)
+    for index, bound in enumerate(bounds):
+        brackets += _settle(row, index, bound, found)
     return brackets
 
 
-def _settle(
-    row: Row, index: int, low: float, high: float, ranks: list[int], found: dict[int, float]
-) -> list[_Bracket]:
+def _settle(row: Row, index: int, bound: _Bounds, found: dict[tuple[int, int], float]) -> list[_Bracket]:
+    number, low, high, ranks = bound
     at_low, before = row[f"low{index}"], row[f"before{index}"]
-    found.update({rank: low for rank in ranks if rank < at_low})
-    found.update({rank: high for rank in ranks if rank >= before and rank not in found})
-    left = [rank for rank in ranks if rank not in found]
-    return [_Bracket(low, high, at_low, before - at_low, left)] if left else []
-
-
-def _rank_inside(values: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
-    """Group the few values inside the brackets, then rank them bracket by bracket."""
-    hits = F.array_compact(
-        F.array(
-            *[F.when(bracket.holds(F.col("v")), F.lit(i)) for i, bracket in enumerate(brackets)]
-        )
-    )
-    counted = (
-        values.where(reduce(or_, [bracket.holds(F.col("v")) for bracket in brackets]))
-        .groupBy("v")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("bracket", F.explode(hits))
-    )
-    running = Window.partitionBy("bracket").orderBy("v")
-    ranked = counted.withColumn(
-        "upto", F.sum("copies").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    is_wanted = reduce(
-        or_,
-        [
-            (F.col("bracket") == i)
-            & (F.col("upto") - F.col("copies") <= rank - bracket.below)
-            & (F.col("upto") > rank - bracket.below)
-            for i, bracket in enumerate(brackets)
-            for rank in bracket.ranks
-        ],
-    )
-    found = {}
-    for row in ranked.where(is_wanted).collect():
-        bracket = brackets[row.bracket]
-        for rank in bracket.ranks:
-            if row.upto - row.copies <= rank - bracket.below < row.upto:
-                found[rank] = row.v
-    return found
+    found.update({(number, rank): low for rank in ranks if rank < at_low})
+    found.update({(number, rank): high for rank in ranks if rank >= max(before, at_low)})
+    left = [rank for rank in ranks if at_low <= rank < before]
+    return [_Bracket(number, low, high, at_low, before - at_low, left)] if left else []

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions.text import column
 from arealis.operators.schema import require
-from arealis.operators.significance import chi2_upper, f_upper, t_critical, t_two_sided
+from arealis.operators.significance import chi2_upper, f_upper, omnibus, t_critical, t_two_sided
 
 CONSTANT = "const"
 
@@ -53,45 +53,51 @@ class OlsFit:
         return self.n - len(self.terms)
 
     @property
-    def r_squared(self) -> float:
-        return 1 - self.residual_ss / self.total_ss
+    def r_squared(self) -> float | None:
+        """None for a constant target."""
+        return 1 - self.residual_ss / self.total_ss if self.total_ss else None
 
     @property
-    def adjusted_r_squared(self) -> float:
+    def adjusted_r_squared(self) -> float | None:
+        if self.r_squared is None:
+            return None
         return 1 - (1 - self.r_squared) * (self.n - 1) / self.df_residual
 
     @property
-    def t_values(self) -> np.ndarray:
-        return self.coefficients / self.std_errors
+    def t_values(self) -> list[float | None]:
+        """None where the fit is perfect and the standard error is zero."""
+        pairs = zip(self.coefficients, self.std_errors, strict=True)
+        return [float(coef / error) if error else None for coef, error in pairs]
 
     @property
-    def p_values(self) -> list[float]:
-        return [t_two_sided(t, self.df_residual) for t in self.t_values]
+    def p_values(self) -> list[float | None]:
+        return [None if t is None else t_two_sided(t, self.df_residual) for t in self.t_values]
 
     @property
-    def f_statistic(self) -> float:
+    def f_statistic(self) -> float | None:
+        """None for a perfect fit, and so are the values below."""
         explained = (self.total_ss - self.residual_ss) / self.df_model
         if self.residual_ss == 0:
-            return math.inf
+            return None
         return explained / (self.residual_ss / self.df_residual)
 
     @property
-    def f_p_value(self) -> float:
-        return f_upper(self.f_statistic, self.df_model, self.df_residual)
+    def f_p_value(self) -> float | None:
+        return None if self.f_statistic is None else f_upper(self.f_statistic, self.df_model, self.df_residual)
 
     @property
-    def log_likelihood(self) -> float:
+    def log_likelihood(self) -> float | None:
         if self.residual_ss == 0:
-            return math.inf
+            return None
         return -self.n / 2 * (math.log(2 * math.pi) + math.log(self.residual_ss / self.n) + 1)
 
     @property
-    def aic(self) -> float:
-        return 2 * len(self.terms) - 2 * self.log_likelihood
+    def aic(self) -> float | None:
+        return None if self.log_likelihood is None else 2 * len(self.terms) - 2 * self.log_likelihood
 
     @property
-    def bic(self) -> float:
-        return math.log(self.n) * len(self.terms) - 2 * self.log_likelihood
+    def bic(self) -> float | None:
+        return None if self.log_likelihood is None else math.log(self.n) * len(self.terms) - 2 * self.log_likelihood
 
     def prediction(self) -> Column:
         """The fitted value as a column expression."""
@@ -191,7 +197,7 @@ def coefficient_table(spark: SparkSession, fits: Mapping[str, OlsFit]) -> DataFr
         )
         for term, coef, error, t, p in lines:
             bounds = (coef - reach * error, coef + reach * error)
-            rows.append((fit.name, term, *map(float, (coef, error, t, p, *bounds))))
+            rows.append((fit.name, term, float(coef), float(error), t, p, *map(float, bounds)))
     return _table(
         spark,
         rows,
@@ -238,7 +244,7 @@ def model_table(
             for fit in fits.values()
         ]
         lines.append((position, label, *cells))
-    lines.append((len(rows), "R²", *["%.3f" % fit.r_squared for fit in fits.values()]))
+    lines.append((len(rows), "R²", *["-" if fit.r_squared is None else "%.3f" % fit.r_squared for fit in fits.values()]))
     cells = ", ".join(f"`{name}` string" for name in fits)
     return _table(spark, lines, f"position int, variable string, {cells}")
 
@@ -263,7 +269,10 @@ def diagnostics(df: DataFrame, fits: Mapping[str, OlsFit]) -> DataFrame:
     rows = []
     for i, fit in enumerate(fits.values()):
         skewness, excess = shape[f"s{i}"], shape[f"k{i}"]
-        jarque_bera = fit.n / 6 * (skewness**2 + excess**2 / 4)
+        known = skewness is not None and excess is not None and not math.isnan(skewness + excess)
+        skewness, kurtosis = (skewness, excess + 3) if known else (None, None)  # residuals without variance
+        jarque_bera = fit.n / 6 * (skewness**2 + excess**2 / 4) if known else None
+        together = omnibus(fit.n, skewness, kurtosis) if known else None
         rows.append(
             (
                 fit.name,
@@ -278,9 +287,11 @@ def diagnostics(df: DataFrame, fits: Mapping[str, OlsFit]) -> DataFrame:
                 fit.aic,
                 fit.bic,
                 skewness,
-                excess + 3,
+                kurtosis,
                 jarque_bera,
-                chi2_upper(jarque_bera, 2),
+                None if jarque_bera is None else chi2_upper(jarque_bera, 2),
+                together,
+                None if together is None else chi2_upper(together, 2),
                 fit.condition_number,
             )
         )
@@ -290,7 +301,7 @@ def diagnostics(df: DataFrame, fits: Mapping[str, OlsFit]) -> DataFrame:
         "model string, observations bigint, df_model int, df_residual bigint, r_squared double, "
         "adj_r_squared double, f_statistic double, f_p_value double, log_likelihood double, "
         "aic double, bic double, skewness double, kurtosis double, jarque_bera double, "
-        "jarque_bera_p double, condition_number double",
+        "jarque_bera_p double, omnibus double, omnibus_p double, condition_number double",
     )
 
 

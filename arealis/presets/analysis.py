@@ -36,6 +36,12 @@ DEMOGRAPHIC = (
     "tx_domicilios_ocupados",
     "tx_domicilios_vagos",
 )
+GROUPS = {
+    "infrastructure": INFRASTRUCTURE,
+    "mobility": MOBILITY,
+    "income": INCOME,
+    "demographic": DEMOGRAPHIC,
+}
 MAIN_VARIABLES = (
     "indice_infraestrutura_urbana",
     "indice_mobilidade_urbana",

@@ -112,7 +112,7 @@ def read_periods(
 ) -> DataFrame:
     """Curated table partitioned by ``ano_trimestre``, with ``ano`` as int.
 
-    The year range is an expression of the partition column, so other folders are never listed
+    Either bound may be left open. The year range is an expression of the partition column, so other folders are never listed
     into the scan. Schemas of older and newer folders are merged, which reads every footer; give
     the ``schema``, partition column included, to skip that on large tables.
     """
@@ -120,6 +120,8 @@ def read_periods(
     table = reader.parquet(path)
     year = F.regexp_extract(F.col("ano_trimestre"), r"(\d{4})", 1).try_cast("int")
     table = table.withColumn("ano", year)
-    if first_year is not None and last_year is not None:
-        table = table.where(F.col("ano").between(first_year, last_year))
+    if first_year is not None:
+        table = table.where(F.col("ano") >= first_year)
+    if last_year is not None:
+        table = table.where(F.col("ano") <= last_year)
     return table

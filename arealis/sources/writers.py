@@ -75,7 +75,7 @@ def save_bundle(
     return targets
 
 
-def export_gis(df: DataFrame, path: str, single_file: bool = True) -> None:
+def export_gis(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Semicolon-separated UTF-8 text that opens with a byte order mark, for desktop GIS tools."""
     first, *rest = df.columns
     marked = df.select(F.col(f"`{first}`").alias(BYTE_ORDER_MARK + first), *[f"`{c}`" for c in rest])

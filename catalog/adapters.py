@@ -22,7 +22,8 @@ def pick(selector: str, values: Sequence[str | None]) -> str:
 def _money(cents: str) -> str:
     """Whole cents as text with a decimal comma."""
     whole = f"CAST(CAST(floor(({cents}) / 100) AS BIGINT) AS STRING)"
-    return f"concat({whole}, ',', lpad(CAST(({cents}) % 100 AS STRING), 2, '0'))"
+    text = f"concat({whole}, ',', lpad(CAST(({cents}) % 100 AS STRING), 2, '0'))"
+    return f"CASE WHEN ({cents}) IS NOT NULL THEN {text} END"  # concat of NULL differs between the engines
 
 
 def _people(per: int) -> str:
@@ -99,6 +100,11 @@ ENTORNO_RAW = (
     + " FROM {lineitem} GROUP BY l_orderkey) lines ON o_orderkey = l_orderkey GROUP BY o_custkey"
 )
 
+ENTORNO_DISTRITO_RAW = (
+    ENTORNO_RAW.replace("CAST(o_custkey AS STRING) AS cd_setor", "CAST(c_nationkey AS STRING) AS cd_dist")
+    .replace("GROUP BY o_custkey", "JOIN {customer} ON o_custkey = c_custkey GROUP BY c_nationkey")
+)
+
 BASICO_RAW = f"""
 SELECT CAST(c_custkey AS STRING) AS cd_setor,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 'Rural' ELSE 'Urbana' END AS situacao,
@@ -138,17 +144,26 @@ GROUP BY n_nationkey, n_name, r_regionkey, r_name
 # Only shipped orders declare income, so some customers have none. Mid-range stands for the median.
 RENDIMENTO_RAW = f"""
 SELECT CAST(o_custkey AS STRING) AS cd_setor, CAST(n AS STRING) AS v06001,
-       CAST(n * 3 AS STRING) AS v06002, concat('0,', CAST(n AS STRING)) AS v06003,
+       CAST(n * 3 AS STRING) AS v06002, CASE WHEN n > 0 THEN concat('0,', CAST(n AS STRING)) END AS v06003,
        {_money('CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT)')} AS v06004,
        {_money('high - low')} AS v06005,
        {_money('CAST(floor(CAST(low + high AS DOUBLE) / 2) AS BIGINT)')} AS v06006
-FROM (SELECT o_custkey, count(*) AS n,
-             CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total,
-             min(CAST(round(o_totalprice * 100) AS BIGINT)) AS low,
-             max(CAST(round(o_totalprice * 100) AS BIGINT)) AS high
-      FROM {{orders}} WHERE o_orderstatus = 'F' GROUP BY o_custkey) t
+FROM (SELECT o_custkey, nullif(count(price), 0) AS n,
+             CAST(sum(CAST(round(price * 100) AS BIGINT)) AS BIGINT) AS total,
+             min(CAST(round(price * 100) AS BIGINT)) AS low,
+             max(CAST(round(price * 100) AS BIGINT)) AS high
+      FROM (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS price FROM {{orders}}) o
+      GROUP BY o_custkey) t
 """
 
+RENDIMENTO_DISTRITO_RAW = (
+    RENDIMENTO_RAW.replace("CAST(o_custkey AS STRING) AS cd_setor", "CAST(c_nationkey AS STRING) AS cd_dist")
+    .replace("SELECT o_custkey, CASE", "SELECT c_nationkey, CASE")
+    .replace("FROM {orders}) o", "FROM {orders} JOIN {customer} ON o_custkey = c_custkey) o")
+    .replace("SELECT o_custkey, nullif", "SELECT c_nationkey, nullif")
+    .replace("GROUP BY o_custkey", "GROUP BY c_nationkey")
+)
+
 OCC_DIRTY = """
 SELECT o_orderkey AS id,
   CASE o_orderkey % 7
@@ -241,6 +256,8 @@ SQL = {
     "basico_distrito_raw": BASICO_DISTRITO_RAW,
     "entorno_raw": ENTORNO_RAW,
     "rendimento_raw": RENDIMENTO_RAW,
+    "entorno_distrito_raw": ENTORNO_DISTRITO_RAW,
+    "rendimento_distrito_raw": RENDIMENTO_DISTRITO_RAW,
     "occ_dirty": OCC_DIRTY,
     "sheet": SHEET,
     "ev": EV,

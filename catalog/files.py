@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from arealis.operators import combine, schema
 from arealis.sources import readers, scratch, writers
 from catalog.registry import query, with_adapters
 
@@ -44,5 +45,93 @@ def split_quarter(t):
 )
 def partition_prune(t):
     folder = scratch.shared_folder(t.spark)
-    writers.save_partitioned(stamped(t), folder, "ano_trimestre")
-    return readers.read_periods(t.spark, folder, 1997, 1999)
+    table = stamped(t)
+    writers.save_partitioned(table, folder, "ano_trimestre")
+    return readers.read_periods(t.spark, folder, 1997, 1999, schema=table.schema)
+
+
+@query(
+    "periods_since",
+    with_adapters("occ") + f"SELECT id, data_ocorrencia, {PERIODS}, ano FROM occ WHERE ano >= 1997",
+)
+def periods_since(t):
+    folder = scratch.shared_folder(t.spark)
+    table = stamped(t)
+    writers.save_partitioned(table, folder, "ano_trimestre")
+    return readers.read_periods(t.spark, folder, first_year=1997, schema=table.schema)
+
+
+# Names with letters beyond ASCII, so a wrong encoding shows.
+SUPPLIERS = "SELECT CAST(s_suppkey AS VARCHAR) AS id, concat('Ação ', s_name) AS nome, CAST(s_nationkey AS VARCHAR) AS pais FROM supplier"
+
+
+def suppliers(t):
+    return t.table("supplier").selectExpr(
+        "CAST(s_suppkey AS STRING) AS id", "concat('Ação ', s_name) AS nome", "CAST(s_nationkey AS STRING) AS pais"
+    )
+
+
+@query("csv_round_trip", SUPPLIERS)
+def csv_round_trip(t):
+    folder = scratch.shared_folder(t.spark)
+    writers.save(suppliers(t), folder, "csv")
+    return readers.read_text_table(t.spark, folder)
+
+
+@query("csv_single_file", SUPPLIERS)
+def csv_single_file(t):
+    folder = scratch.shared_folder(t.spark)
+    writers.save(suppliers(t), folder, "csv", single_file=True)
+    return readers.read_text_table(t.spark, folder)
+
+
+@query("json_round_trip", SUPPLIERS)
+def json_round_trip(t):
+    folder = scratch.shared_folder(t.spark)
+    writers.save(suppliers(t), folder, "json")
+    return t.spark.read.schema("id string, nome string, pais string").json(folder)
+
+
+@query("gis_round_trip", SUPPLIERS)
+def gis_round_trip(t):
+    folder = scratch.shared_folder(t.spark)
+    writers.export_gis(suppliers(t), folder)
+    back = readers.read_text_table(t.spark, folder, sep=";", encoding="UTF-8")
+    return back.toDF("id", "nome", "pais")
+
+
+@query(
+    "bundle_round_trip",
+    SUPPLIERS + " UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation",
+)
+def bundle_round_trip(t):
+    nations = t.table("nation").selectExpr(
+        "CAST(n_nationkey AS STRING) AS id", "n_name AS nome", "CAST(n_regionkey AS STRING) AS pais"
+    )
+    bundle = {"suppliers": suppliers(t), "nations": nations}
+    targets = writers.save_bundle(bundle, scratch.shared_folder(t.spark), "setor")
+    return combine.union_by_name([t.spark.read.parquet(targets[name]) for name in bundle])
+
+
+@query(
+    "quarter_files",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(year(o_orderdate) AS VARCHAR) AS ano,
+      CAST(quarter(o_orderdate) AS VARCHAR) AS trimestre FROM orders
+      WHERE year(o_orderdate) IN (1995, 1996) AND NOT (year(o_orderdate) = 1996 AND quarter(o_orderdate) = 2)""",
+)
+def quarter_files(t):
+    """Quarter folders of two years, one of them missing, read back and stamped."""
+    folder = scratch.shared_folder(t.spark)
+    orders = t.table("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id", "year(o_orderdate) AS y", "quarter(o_orderdate) AS q"
+    )
+    for year in (1995, 1996):
+        part = orders.where(f"y = {year} AND NOT (y = 1996 AND q = 2)").drop("y")
+        writers.save_partitioned(part, f"{folder}/{year}", "q", "csv")
+    found = readers.read_quarter_files(t.spark, folder + "/{year}/q={quarter}", [1995, 1996])
+    return found.selectExpr("id", "CAST(ano_particao AS STRING) AS ano", "CAST(trimestre_particao AS STRING) AS trimestre")
+
+
+@query("constant_stamp", "SELECT r_regionkey, r_name, 'censo' AS origem, '2022' AS ano FROM region")
+def constant_stamp(t):
+    return schema.with_constants(t.table("region").select("r_regionkey", "r_name"), origem="censo", ano="2022")

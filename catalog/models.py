@@ -183,7 +183,27 @@ def model_table(t):
     MODELS_SQL + "SELECT term AS variable, round(vif, 6) AS vif FROM terms WHERE model = 'Modelo 3'",
 )
 def vif(t):
-    return rounded(regression.vif_table(t.spark, fits(t)["Modelo 3"]), ["vif"])
+    return rounded(regression.vif_table(t.spark, fits(t, "Modelo 3")["Modelo 3"]), ["vif"])
+
+
+def _omnibus_sql() -> str:
+    """Squares of the two published z scores of skewness and kurtosis, written out."""
+    y = "(sk * sqrt((n + 1.0) * (n + 3) / (6.0 * (n - 2))))"
+    beta = "(3.0 * (n * n + 27.0 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)))"
+    w2 = f"(sqrt(2 * ({beta} - 1)) - 1)"
+    scaled = f"({y} / sqrt(2 / ({w2} - 1)))"
+    z1 = f"(ln({scaled} + sqrt({scaled} * {scaled} + 1)) / sqrt(ln({w2}) / 2))"
+    x = (
+        "((ku - 3.0 * (n - 1) / (n + 1)) / "
+        "sqrt(24.0 * n * (n - 2) * (n - 3) / ((n + 1.0) * (n + 1) * (n + 3) * (n + 5))))"
+    )
+    b = "(6.0 * (n * n - 5.0 * n + 2) / ((n + 7.0) * (n + 9)) * sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3))))"
+    a = f"(6 + 8 / {b} * (2 / {b} + sqrt(1 + 4 / ({b} * {b}))))"
+    z2 = f"((1 - 2 / (9 * {a}) - cbrt((1 - 2 / {a}) / (1 + {x} * sqrt(2 / ({a} - 4))))) / sqrt(2 / (9 * {a})))"
+    return f"({z1} * {z1} + {z2} * {z2})"
+
+
+OMNIBUS = _omnibus_sql()
 
 
 def _diagnostics_sql() -> str:
@@ -207,7 +227,8 @@ def _diagnostics_sql() -> str:
             round(ln(n) * {k + 1} - 2 * {log_likelihood}, 6) AS bic,
             round(sk, 6) AS skewness, round(ku, 6) AS kurtosis,
             round(n / 6.0 * (sk * sk + (ku - 3) * (ku - 3) / 4), 6) AS jarque_bera,
-            round(exp(-(n / 12.0 * (sk * sk + (ku - 3) * (ku - 3) / 4))), 6) AS jarque_bera_p
+            round(exp(-(n / 12.0 * (sk * sk + (ku - 3) * (ku - 3) / 4))), 6) AS jarque_bera_p,
+            round({OMNIBUS}, 6) AS omnibus, round(exp(-{OMNIBUS} / 2), 6) AS omnibus_p
             FROM {tag}_fit, (SELECT avg(e * e * e) / pow(avg(e * e), 1.5) AS sk,
                 avg(e * e * e * e) / pow(avg(e * e), 2) AS ku
                 FROM (SELECT z0 - m0 - ({fitted}) AS e FROM {tag}_z, {tag}_fit) r) shape"""
@@ -217,7 +238,7 @@ def _diagnostics_sql() -> str:
 
 DIAGNOSTICS = (
     "r_squared", "adj_r_squared", "f_statistic", "f_p_value", "log_likelihood", "aic", "bic", "skewness",
-    "kurtosis", "jarque_bera", "jarque_bera_p",
+    "kurtosis", "jarque_bera", "jarque_bera_p", "omnibus", "omnibus_p",
 )
 
 

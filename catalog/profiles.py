@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arealis.operators import cleaning, quality, tables
+from arealis.operators import cleaning, combine, quality, tables
 from arealis.presets import vehicle
 from catalog.cleaning import rules_sql
 from catalog.registry import query, with_adapters
@@ -112,3 +112,21 @@ def pivot_heatmap(t):
 )
 def pivot_filtered(t):
     return tables.category_grid(labelled(t), "bairro", "categoria_rubrica", MAIN_OFFENCES)
+
+
+TOP_BAIRROS = (
+    "top AS (SELECT bairro FROM (SELECT bairro, count(*) AS n FROM sheet GROUP BY bairro) c "
+    "ORDER BY n DESC, bairro ASC NULLS LAST LIMIT 15)"
+)
+
+
+@query(
+    "pivot_top",
+    with_adapters("sheet", then=f"{LABELLED}, {TOP_BAIRROS}")
+    + f"SELECT * FROM ({_grid_sql('bairro', 'categoria_rubrica', MAIN_OFFENCES)}) g WHERE bairro IN (SELECT bairro FROM top)",
+)
+def pivot_top(t):
+    """The grid of the fifteen neighbourhoods with most rows; the keys are found before anything is derived."""
+    busiest = combine.semi_join_top(t.adapter("sheet").select("bairro", "descr_tipo_veiculo", "rubrica"), "bairro", 15)
+    derived = cleaning.add_categories(busiest, vehicle.CATEGORIES)
+    return tables.category_grid(derived, "bairro", "categoria_rubrica", MAIN_OFFENCES)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from arealis.operators import combine, quality, rates, tables
 from arealis.plans import study, views
 from arealis.presets import analysis
-from arealis.sources import scratch
 from catalog.registry import query, rounded, sql_rounded, with_adapters
 from catalog.units import FINAL_CTES, RAW, log1p_sql, ratio_sql, unit_tables
 
@@ -58,14 +57,6 @@ def full_rate_base(t):
     return study.rate_base(t.adapter("occ"), unit_tables(t)["final"])
 
 
-def crimes(t):
-    """Occurrences as they come back from the map tool: unit and district named SJ_*."""
-    units = t.adapter("units").select(
-        F.col("cd_setor").alias("SJ_CD_SETOR"), F.col("nm_dist").alias("SJ_NM_DIST")
-    )
-    return t.adapter("occ").withColumnRenamed("cd_setor", "SJ_CD_SETOR").join(units, "SJ_CD_SETOR", "left")
-
-
 @query(
     "rates_by_unit_period",
     with_adapters(*OCC_UNITS, then=BASE)
@@ -87,8 +78,7 @@ def rates_by_unit_period(t):
 )
 def rates_inner(t):
     occurrences = t.adapter("occ").withColumnRenamed("cd_setor", "SJ_CD_SETOR")
-    views.register_views(crimes=occurrences, censo=t.adapter("units"))
-    rated = views.rates_of_thefts(t.spark)
+    rated = views.rates_of_thefts(occurrences, t.adapter("units"))
     return rounded(
         rated.select("cd_setor", "nm_dist", "qt_pessoas", "total_crimes", "tx_crimes_1000_hab"),
         ["tx_crimes_1000_hab"],
@@ -176,8 +166,7 @@ def rollup_district(t):
     + "SELECT *, round(100.0 * qt_crimes / (SELECT sum(qt_crimes) FROM districts), 6) AS participacao_pct FROM districts",
 )
 def share_of_total(t):
-    shares = rates.share_of_total(scratch.materialize(districts(t)), "qt_crimes")
-    return rounded(shares, ["participacao_pct"])
+    return rounded(rates.share_of_total(districts(t), "qt_crimes"), ["participacao_pct"])
 
 
 @query(
@@ -296,14 +285,13 @@ def filter_predicates(t):
     WHERE cd_setor IS NOT NULL AND (is_roubo OR is_furto) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
 )
 def sql_top_districts(t):
-    views.register_views(crimes=crimes(t))
-    return views.top_districts(t.spark)
+    occurrences = t.adapter("occ").withColumnRenamed("cd_setor", "SJ_CD_SETOR")
+    return views.top_districts(occurrences, t.adapter("units"))
 
 
 @query("sql_events_per_year", with_adapters("occ") + "SELECT ano, count(*) AS qt FROM occ GROUP BY 1")
 def sql_events_per_year(t):
-    views.register_views(crimes=t.adapter("occ"))
-    return views.events_per_year(t.spark)
+    return views.events_per_year(t.adapter("occ"))
 
 
 @query(

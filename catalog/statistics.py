@@ -58,9 +58,8 @@ def quantile_query(t):
     ),
 )
 def quantiles_refined(t):
-    """The way beyond one task's memory, entered here by lowering the size that counts as small."""
-    found = quantiles.quantile_table(t.table("lineitem"), "l_extendedprice", LEVELS, small=1000)
-    return rounded(found, ["value"])
+    """The largest table, where brackets need more than one round."""
+    return rounded(quantiles.quantile_table(t.table("lineitem"), "l_extendedprice", LEVELS), ["value"])
 
 
 def _histogram_sql(source: str, bins: int = 50) -> str:
@@ -75,7 +74,7 @@ def _histogram_sql(source: str, bins: int = 50) -> str:
     counted AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin)
     SELECT CAST(i AS INTEGER) AS bin, round(lo + i * {step}, 6) AS lower,
            round(CASE WHEN i = {bins - 1} THEN hi ELSE lo + (i + 1) * {step} END, 6) AS upper,
-           coalesce(n, 0) AS count
+           coalesce(n, 0) AS count, CAST(0 AS BIGINT) AS not_finite
     FROM range({bins}) r(i) CROSS JOIN span LEFT JOIN counted ON bin = i"""
 
 
@@ -139,6 +138,30 @@ def corr_vector(t):
     return rounded(study.main_correlations(full_rate_base(t)), ["correlation"])
 
 
+def _groups_sql(where: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{group}' AS variable_group, variable, correlation FROM ({_corr_sql(names, where)}) g{i}"
+        for i, (group, names) in enumerate(analysis.GROUPS.items())
+    )
+
+
+@query("corr_groups", with_adapters(*FULL, then=FULL_BASE) + _groups_sql("qt_pessoas >= 100"))
+def corr_groups(t):
+    populated = population_floor(full_rate_base(t), analysis.POPULATION_FLOOR_MODEL)
+    found = correlation.correlate_groups(populated, analysis.TARGET_RATE, analysis.GROUPS)
+    return rounded(found, ["correlation"])
+
+
+@query(
+    "corr_urban_full",
+    with_adapters(*FULL, then=FULL_BASE) + _corr_sql(analysis.URBAN_RATIOS, "tx_crimes_1000_hab < 1500"),
+)
+def corr_urban_full(t):
+    below = F.col(analysis.TARGET_RATE) < analysis.TOP_RATE
+    found = correlation.correlate(full_rate_base(t), analysis.TARGET_RATE, analysis.URBAN_RATIOS, below)
+    return rounded(found, ["correlation"])
+
+
 FILTER = "ds_situacao = 'Urbana' AND cd_tipo <> '0' AND tx_crimes_1000_hab < 1500"
 
 

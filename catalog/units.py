@@ -184,6 +184,44 @@ def census_final(t):
     return rounded(unit_tables(t)["final"], COMPUTED)
 
 
+# The municipality that the analyses keep; region names stand for municipalities.
+ONE_MUNICIPALITY = "EUROPE"
+
+
+@query(
+    "census_final_municipality",
+    with_adapters(*RAW, then=FINAL_CTES.replace("FROM basico_raw", f"FROM basico_raw WHERE nm_mun = '{ONE_MUNICIPALITY}'"))
+    + "SELECT "
+    + ", ".join(f"round({c}, 6) AS {c}" if c in COMPUTED else c for c in FINAL_COLUMNS)
+    + " FROM final",
+)
+def census_final_municipality(t):
+    found = unit_plans.build_units(raw_tables(t), "setor", municipality=ONE_MUNICIPALITY)
+    return rounded(found["final"], COMPUTED)
+
+
+DISTRICT_RAW = ("basico_distrito_raw", "entorno_distrito_raw", "rendimento_distrito_raw")
+DISTRICT_CTES = (
+    FINAL_CTES.replace(BASIC_SQL, DISTRICT_SQL)
+    .replace(COUNTERS_SQL, COUNTERS_SQL.replace("cd_setor", "cd_dist").replace("entorno_raw", "entorno_distrito_raw"))
+    .replace(INCOME_SQL, INCOME_SQL.replace("cd_setor", "cd_dist").replace("rendimento_raw", "rendimento_distrito_raw"))
+    .replace("USING (cd_setor)", "USING (cd_dist)")
+)
+DISTRICT_COLUMNS = ("cd_dist", "nm_dist", "cd_regiao", "nm_regiao", *census.FINAL_MEASURES)
+
+
+@query(
+    "census_final_district",
+    with_adapters(*DISTRICT_RAW, then=DISTRICT_CTES)
+    + "SELECT "
+    + ", ".join(f"round({c}, 6) AS {c}" if c in COMPUTED else c for c in DISTRICT_COLUMNS)
+    + " FROM final",
+)
+def census_final_district(t):
+    raw = {name: t.adapter(f"{name}_distrito_raw") for name in ("basico", "entorno", "rendimento")}
+    return rounded(unit_plans.build_units(raw, "distrito", municipality=None)["final"], COMPUTED)
+
+
 @query(
     "safe_divide",
     with_adapters("units")

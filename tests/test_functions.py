@@ -141,6 +141,11 @@ def test_census_numbers(apply):
 def test_flags(apply):
     check(apply, parse_flag, {"true": True, "1": True, "0": False, "FALSE": False, "x": None, None: None})
     assert apply(parse_flag, [1, 0, None], "int") == [True, False, None]
+    assert apply(parse_flag, [1.0, 0.0, None], "double") == [True, False, None]
+    check(apply, parse_flag, {"1.0": True, "0.0": False, " 1.00 ": True, "nan": None})
+    from decimal import Decimal
+
+    assert apply(parse_flag, [Decimal("1.0"), Decimal("0.0")], "decimal(3,1)") == [True, False]
 
 
 def test_ratios(spark):

@@ -122,7 +122,7 @@ def test_period_of_a_date(spark):
 
 
 def test_gis_export_opens_with_a_mark(people, tmp_path):
-    writers.export_gis(people, str(tmp_path / "gis"))
+    writers.export_gis(people, str(tmp_path / "gis"), single_file=True)
     (part,) = (tmp_path / "gis").glob("part-*")
     assert part.read_bytes().startswith(b"\xef\xbb\xbfid;nome\n")
 
@@ -228,40 +228,36 @@ def test_batch_reports_every_failure_after_the_rest_ran(spark, tmp_path):
 
 def test_views(spark):
     crimes = spark.createDataFrame(
-        [("s1", "A", True, False, 2020), ("s1", "A", False, True, 2021), ("s2", "B", False, True, 2021), (None, "B", True, True, 2021), ("s2", "B", False, False, 2021)],
-        "SJ_CD_SETOR string, SJ_NM_DIST string, is_roubo boolean, is_furto boolean, ano int",
+        [("s1", True, False, 2020), ("s1", False, True, 2021), ("s2", False, True, 2021), (None, True, True, 2021), ("s2", False, False, 2021)],
+        "SJ_CD_SETOR string, is_roubo boolean, is_furto boolean, ano int",
     )
-    censo = spark.createDataFrame([("s1", 0), ("s2", 500)], "cd_setor string, qt_pessoas int")
-    views.register_views(crimes=crimes, censo=censo)
-    assert [tuple(r) for r in views.top_districts(spark).collect()] == [("A", 2), ("B", 1)]
-    assert rows(views.rates_of_thefts(spark).select("cd_setor", "tx_crimes_1000_hab"), "cd_setor") == [("s1", None), ("s2", 2.0)]
-    assert [tuple(r) for r in views.events_per_year(spark).collect()] == [(2021, 4), (2020, 1)]
-
-
-def test_regression_study_end_to_end(spark):
-    sf = "/root/testdata/sf0.001"
-    from catalog.rates import full_rate_base
-    from catalog.registry import Tables
-
-    found = study.regression_study(full_rate_base(Tables(spark, sf)))
-    assert list(found.fits) == list(analysis.MODELS)
-    assert found.vif.count() == 5
-    assert found.final.count() == 5
-    assert found.coefficients.count() == found.p_values.count() == 5
-    assert found.fit.count() == found.diagnostics.count() == 3
-
-
-def test_command_line(spark, tmp_path):
-    from arealis.__main__ import main
-
-    sheet = tmp_path / "criminalidade/raw/VeiculosSubtraidos_2020.csv"
-    sheet.parent.mkdir(parents=True)
-    sheet.write_bytes("DATA_OCORRENCIA_BO,RUBRICA\n2020-05-01,Furto\n".encode("latin-1"))
-    main(["clean", "--data", str(tmp_path), "--years", "2020"])
-    main(["split", "--data", str(tmp_path), "--years", "2020"])
-    split = tmp_path / "criminalidade/processed/veiculos_trimestre/veiculos_2020/trimestre=2"
-    assert list(split.glob("part-*.csv"))
-    with pytest.raises(FileNotFoundError):
-        main(["curate", "--data", str(tmp_path), "--years", "2020"])
-    with pytest.raises(ExceptionGroup):
-        main(["census", "--data", str(tmp_path), "--levels", "setor"])
+    censo = spark.createDataFrame([("s1", "A", 0), ("s2", "B", 500)], "cd_setor string, nm_dist string, qt_pessoas int")
+    assert [tuple(r) for r in views.top_districts(crimes, censo).collect()] == [("A", 2), ("B", 1)]
+    rated = views.rates_of_thefts(crimes, censo).select("cd_setor", "tx_crimes_1000_hab")
+    assert rows(rated, "cd_setor") == [("s1", None), ("s2", 2.0)]
+    assert [tuple(r) for r in views.events_per_year(crimes).collect()] == [(2021, 4), (2020, 1)]
+    views.register_views(crimes=crimes)
+    assert spark.sql("SELECT count(*) FROM crimes").first()[0] == 5
+
+
+def test_top_districts_counts_before_it_joins(spark):
+    crimes = spark.createDataFrame([], "SJ_CD_SETOR string, is_roubo boolean, is_furto boolean")
+    censo = spark.createDataFrame([], "cd_setor string, nm_dist string")
+    plan = views.top_districts(crimes, censo)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join LeftOuter")
+    assert "count(1)" in plan[join:] and "count(1)" not in plan[:join]
+
+
+@pytest.mark.parametrize("first,last,years", [(2020, None, [2020, 2024]), (None, 2020, [2019, 2020]), (None, None, [2019, 2020, 2024])])
+def test_periods_with_open_bounds(spark, tmp_path, first, last, years):
+    table = spark.createDataFrame([(y, f"{y}_1") for y in (2019, 2020, 2024)], "id int, ano_trimestre string")
+    writers.save_partitioned(table, str(tmp_path / "t"), "ano_trimestre")
+    got = readers.read_periods(spark, str(tmp_path / "t"), first, last)
+    assert sorted(r.ano for r in got.collect()) == years
+
+
+def test_no_machine_local_folder_is_used():
+    from pathlib import Path
+
+    sources = Path(writers.__file__).resolve().parents[1].rglob("*.py")
+    assert not [p for p in sources if "tempfile" in p.read_text(encoding="utf-8")]
