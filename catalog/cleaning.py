@@ -59,21 +59,64 @@ def coordinate_sql(name: str) -> str:
     return f"CASE WHEN regexp_matches({text}, '^-?[0-9]+([.][0-9]+)?$') THEN CAST({text} AS DOUBLE) END"
 
 
-def rules_sql(name: str, rules, default: str | None) -> str:
-    """A rule table as one CASE expression."""
-    whens = []
-    for rule in rules:
-        if rule.kind == "in":
-            values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in rule.args)
-            test = f"{name} IN ({values})"
-        elif rule.kind == "between":
-            test = f"{name} BETWEEN {rule.args[0]} AND {rule.args[1]}"
-        else:
-            start = "^" if rule.kind == "starts" else ""
-            test = f"regexp_matches({name}, '{start}({'|'.join(rule.args)})', 'i')"
-        whens.append(f"WHEN {test} THEN '{rule.label}'")
-    end = "NULL" if default is None else f"'{default}'"
-    return f"CASE {' '.join(whens)} ELSE {end} END"
+# The published category rules, written out apart from the presets so that a changed preset shows.
+CATEGORY_SQL = {
+    "periodo_dia": """CASE WHEN {0} BETWEEN 0 AND 5 THEN 'MADRUGADA' WHEN {0} BETWEEN 6 AND 11 THEN 'MANHA'
+        WHEN {0} BETWEEN 12 AND 17 THEN 'TARDE' WHEN {0} BETWEEN 18 AND 23 THEN 'NOITE' END""",
+    "categoria_conduta": """CASE WHEN {0} IN ('VEÍCULO', 'INTERIOR DE VEÍCULO') THEN 'VEICULO'
+        WHEN {0} IN ('TRANSEUNTE', 'PESSOA') THEN 'PESSOA'
+        WHEN {0} IN ('RESIDÊNCIA', 'CONDOMÍNIO RESIDÊNCIAL') THEN 'RESIDENCIAL'
+        WHEN {0} IN ('ESTABELECIMENTO COMERCIAL', 'INTERIOR ESTABELECIMENTO', 'ESTABELECIMENTO-OUTROS')
+            THEN 'COMERCIAL'
+        WHEN {0} = 'CARGA' THEN 'CARGA'
+        WHEN {0} IN ('COLETIVO', 'APLICATIVO DE MOBILIDADE URBANA') THEN 'TRANSPORTE'
+        WHEN {0} IN ('OUTROS', 'FIOS E CABOS') THEN 'OUTROS' ELSE 'NAO_INFORMADO' END""",
+    "categoria_rubrica": """CASE WHEN regexp_matches({0}, '^FURTO', 'i') THEN 'FURTO'
+        WHEN regexp_matches({0}, '^ROUBO', 'i') THEN 'ROUBO'
+        WHEN regexp_matches({0}, 'LOCALIZAÇÃO|APREENSÃO|ENTREGA', 'i') THEN 'RECUPERACAO'
+        WHEN regexp_matches({0}, 'RECEPTAÇÃO', 'i') THEN 'RECEPTACAO'
+        WHEN regexp_matches({0}, 'ADULTERAÇÃO', 'i') THEN 'ADULTERACAO'
+        WHEN regexp_matches({0}, 'ESTELIONATO|APROPRIAÇÃO INDÉBITA', 'i') THEN 'FRAUDE'
+        WHEN regexp_matches({0}, 'COLISÃO|CHOQUE|ABALROAMENTO|TOMBAMENTO', 'i') THEN 'ACIDENTE'
+        WHEN regexp_matches({0}, 'HOMICÍDIO|LESÃO CORPORAL|AMEAÇA|VIOLÊNCIA', 'i') THEN 'VIOLENCIA'
+        WHEN regexp_matches({0}, 'TRÁFICO|DROGAS', 'i') THEN 'DROGAS'
+        WHEN regexp_matches({0}, 'ARMA DE FOGO|ARMA', 'i') THEN 'ARMAS' ELSE 'OUTROS' END""",
+    "categoria_ocorrencia_veiculo": """CASE {0} WHEN 'Localizado / Entregue' THEN 'RECUPERADO'
+        WHEN 'Furtado' THEN 'FURTADO' WHEN 'Roubado' THEN 'ROUBADO' ELSE 'OUTROS' END""",
+    "categoria_tipo_veiculo": """CASE WHEN {0} IN ('AUTOMOVEL', 'CAMINHONETE', 'CAMIONETA', 'UTILITÁRIO') THEN 'LEVE'
+        WHEN {0} IN ('MOTOCICLO', 'MOTONETA', 'CICLOMOTO') THEN 'MOTOCICLETA'
+        WHEN {0} IN ('CAMINHÃO', 'CAMINHÃO TRATOR', 'SEMI-REBOQUE', 'REBOQUE') THEN 'PESADO'
+        WHEN {0} IN ('ONIBUS', 'MICRO-ONIBUS') THEN 'TRANSPORTE_PUBLICO'
+        WHEN regexp_matches({0}, 'TRATOR', 'i') THEN 'MAQUINARIO'
+        WHEN {0} = 'BICICLETA' THEN 'BICICLETA' ELSE 'OUTROS' END""",
+    "categoria_tipolocal": """CASE WHEN {0} = 'Via Pública' THEN 'VIA_PUBLICA'
+        WHEN {0} IN ('Residência', 'Condomínio Residencial', 'Favela') THEN 'RESIDENCIAL'
+        WHEN {0} IN ('Comércio e Serviços', 'Centro Comercial/Empresarial', 'Shopping Center', 'Escritório',
+            'Estabelecimento Bancário', 'Restaurante e Afins', 'Condomínio Comercial') THEN 'COMERCIAL'
+        WHEN {0} = 'Estacionamento/Garagem' THEN 'ESTACIONAMENTO'
+        WHEN {0} = 'Rodovia/Estrada' THEN 'RODOVIA'
+        WHEN {0} IN ('Repartição Pública', 'Serviços e Bens Públicos', 'Saúde', 'Terminal/Estação',
+            'Estabelecimento de Ensino', 'Entidade Assistencial') THEN 'PUBLICO'
+        WHEN {0} IN ('Area não Ocupada', 'Unidade Rural') THEN 'AREA_ABERTA' ELSE 'OUTROS' END""",
+    "categoria_tipo_setor": """CASE try_cast({0} AS INTEGER) WHEN 0 THEN 'NAO_ESPECIAL'
+        WHEN 1 THEN 'FAVELA_COMUNIDADE_URBANA' WHEN 2 THEN 'QUARTEL_BASE_MILITAR'
+        WHEN 3 THEN 'ALOJAMENTO_ACAMPAMENTO' WHEN 4 THEN 'SETOR_BAIXO_PATAMAR_DOMICILIAR'
+        WHEN 5 THEN 'AGRUPAMENTO_INDIGENA' WHEN 6 THEN 'UNIDADE_PRISIONAL'
+        WHEN 7 THEN 'CONVENTO_HOSPITAL_ILPI_IACA' WHEN 8 THEN 'AGROVILA_PA'
+        WHEN 9 THEN 'AGRUPAMENTO_QUILOMBOLA' ELSE 'OUTROS' END""",
+}
+CATEGORY_SOURCES = {
+    "periodo_dia": "hora_ocorrencia_num",
+    "categoria_conduta": "descr_conduta",
+    "categoria_rubrica": "rubrica",
+    "categoria_ocorrencia_veiculo": "descr_ocorrencia_veiculo",
+    "categoria_tipo_veiculo": "descr_tipo_veiculo",
+    "categoria_tipolocal": "descr_tipolocal",
+}
+
+
+def category_sql(target: str, source: str | None = None) -> str:
+    return CATEGORY_SQL[target].format(source or CATEGORY_SOURCES[target])
 
 
 @query(
@@ -199,7 +242,7 @@ def hour_feature(t):
 
 @query(
     "cat_period_of_day",
-    with_adapters("ev") + f"SELECT event_id, hora, {rules_sql('hora', vehicle.PERIOD_OF_DAY, None)} AS periodo_dia FROM ev",
+    with_adapters("ev") + f"SELECT event_id, hora, {category_sql('periodo_dia', 'hora')} AS periodo_dia FROM ev",
 )
 def cat_period_of_day(t):
     table = [("periodo_dia", "hora", vehicle.PERIOD_OF_DAY, None)]
@@ -210,9 +253,7 @@ def _category(name: str, *targets: str):
     """Register category columns over the sheet, with their source columns."""
     table = [row for row in vehicle.CATEGORIES if row[0] in targets]
     sources = [source for _, source, _, _ in table]
-    columns = ", ".join(
-        [*sources, *[f"{rules_sql(source, rules, default)} AS {target}" for target, source, rules, default in table]]
-    )
+    columns = ", ".join([*sources, *[f"{category_sql(row[0])} AS {row[0]}" for row in table]])
 
     @query(name, SHEET + f"SELECT {columns} FROM sheet")
     def build(t):
@@ -241,19 +282,14 @@ def cat_code_rules(t):
     )
 
 
-def _rules(target: str, source: str) -> str:
-    _, _, rules, default = next(row for row in vehicle.CATEGORIES if row[0] == target)
-    return rules_sql(source, rules, default)
-
-
 @query(
     "flags",
     SHEET
     + f"""SELECT rubrica, descr_ocorrencia_veiculo,
-      CAST(coalesce({_rules('categoria_ocorrencia_veiculo', 'descr_ocorrencia_veiculo')} = 'RECUPERADO', FALSE) AS INTEGER) AS is_recuperado,
-      CAST({_rules('categoria_rubrica', 'rubrica')} = 'FURTO' AS INTEGER) AS is_furto,
-      CAST({_rules('categoria_rubrica', 'rubrica')} = 'ROUBO' AS INTEGER) AS is_roubo,
-      CAST({_rules('categoria_rubrica', 'rubrica')} IN ('ROUBO', 'VIOLENCIA') AS INTEGER) AS is_violento
+      CAST(coalesce({category_sql('categoria_ocorrencia_veiculo')} = 'RECUPERADO', FALSE) AS INTEGER) AS is_recuperado,
+      CAST({category_sql('categoria_rubrica')} = 'FURTO' AS INTEGER) AS is_furto,
+      CAST({category_sql('categoria_rubrica')} = 'ROUBO' AS INTEGER) AS is_roubo,
+      CAST({category_sql('categoria_rubrica')} IN ('ROUBO', 'VIOLENCIA') AS INTEGER) AS is_violento
     FROM sheet""",
 )
 def flags(t):
@@ -284,8 +320,7 @@ def _cleaned_text(name: str, upper: bool = False) -> str:
             {coordinate_sql('latitude')} AS latitude, {coordinate_sql('longitude')} AS longitude,
             rubrica, descr_conduta, descr_ocorrencia_veiculo, descr_tipo_veiculo, descr_tipolocal, bairro,
             {hour_sql('hora_ocorrencia')} AS hora_ocorrencia_num FROM texts),
-        labelled AS (SELECT *, {', '.join(f'{rules_sql(source, rules, default)} AS {target}'
-            for target, source, rules, default in vehicle.CATEGORIES)} FROM typed)""",
+        labelled AS (SELECT *, {', '.join(f'{category_sql(target)} AS {target}' for target in CATEGORY_SOURCES)} FROM typed)""",
     )
     + """SELECT DISTINCT *,
         CAST(categoria_ocorrencia_veiculo = 'RECUPERADO' AS INTEGER) AS is_recuperado,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from arealis.operators import cleaning, combine, quality, tables
 from arealis.presets import vehicle
-from catalog.cleaning import rules_sql
+from catalog.cleaning import category_sql
 from catalog.registry import query, with_adapters
 
 PROFILED = ("id", "data_txt", "ts_txt", "int_txt", "hora_txt", "coord_txt", "num_txt", "rubrica", "flag_txt")
@@ -77,8 +77,8 @@ def _grid_sql(row: str, across: str, values) -> str:
 
 
 LABELLED = "labelled AS (SELECT bairro, {0} AS categoria_tipo_veiculo, {1} AS categoria_rubrica FROM sheet)".format(
-    rules_sql("descr_tipo_veiculo", vehicle.VEHICLE_TYPE, "OUTROS"),
-    rules_sql("rubrica", vehicle.OFFENCE, "OUTROS"),
+    category_sql("categoria_tipo_veiculo"),
+    category_sql("categoria_rubrica"),
 )
 OFFENCES = [*dict.fromkeys(rule.label for rule in vehicle.OFFENCE), "OUTROS"]
 MAIN_OFFENCES = ["FURTO", "ROUBO", "RECUPERACAO"]

@@ -9,14 +9,14 @@ from arealis.operators import area_features as features
 from arealis.operators.combine import left_chain
 from arealis.plans import units as unit_plans
 from arealis.presets import census
-from catalog.cleaning import census_bigint_sql, census_double_sql, rules_sql
+from catalog.cleaning import category_sql, census_bigint_sql, census_double_sql
 from catalog.registry import query, rounded, sql_rounded, with_adapters
 
 _SQL_CONVERTERS = {
     "text": lambda name: name,
     "bigint": census_bigint_sql,
     "double": census_double_sql,
-    "sector_type": lambda name: rules_sql(f"try_cast({name} AS INTEGER)", census.SECTOR_TYPE, "OUTROS"),
+    "sector_type": lambda name: category_sql("categoria_tipo_setor", name),
 }
 
 
