@@ -39,21 +39,28 @@ def held_out(key: Column, parts: int, part: int) -> Column:
 
 
 def skew_join(
-    rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str, total: int, spread: Column, how: str = "left"
+    rows: DataFrame,
+    groups: DataFrame,
+    on: Sequence[str],
+    size: str,
+    total: int,
+    spread: Column,
+    how: str = "left",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join many rows to one row per key, where a few keys may hold most of the rows.
 
     ``groups`` has one row per key (null keys never match) and the key's number of rows in ``size``; ``total`` is
     the number of rows. Keys above ``total / HOT_SHARE`` rows, at most HOT_SHARE of them by arithmetic,
-    are broadcast as a list; their rows spread over SALTS values by ``spread`` and their group row is repeated
+    are broadcast as a list; their rows spread over ``salts`` values by ``spread`` and their group row is repeated
     for each. All other keys keep salt 0.
     """
     is_hot = F.col(size) * HOT_SHARE > F.lit(total)
     hot = groups.filter(is_hot).select(*on, F.lit(True).alias("_hot"))
     salted = groups.withColumn(
-        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
     )
     marked = rows.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     )
     return marked.join(salted, [*on, "_salt"], how).drop("_salt", "_hot")

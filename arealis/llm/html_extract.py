@@ -26,6 +26,8 @@ from arealis.sources.scratch import materialize
 # A template recurs on so many pages of its host, and on this share of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.005
+# Parts of a hot host: its list of templates is repeated for each.
+SALTS = 8
 # Elements nested deeper stay, as siblings.
 MAX_DEPTH = 200
 
@@ -296,7 +298,7 @@ def extract_pages(
     hosted = _hosted(pages, key, url, payload)
     templates = materialize(find_templates(hosted, min_pages, min_share))
     total = templates.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    joined = skew_join(hosted, templates, ["host"], "pages", max(1, total), F.col("page_id"))
+    joined = skew_join(hosted, templates, ["host"], "pages", max(1, total), F.col("page_id"), salts=SALTS)
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
