@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _seen: set[str] = set()
+_open_stage: dict[str, str] = {}
+_last_stage: dict[str, str] = {}
 
 
 def _root(spark: SparkSession) -> str:
@@ -25,7 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
     if root not in _seen:
         _seen.add(root)
         atexit.register(_clear_at_exit, spark)
-    return f"{root}/{uuid.uuid4().hex}"
+    return f"{_open_stage.get(root, root)}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, **options: str) -> DataFrame:
@@ -38,9 +42,29 @@ def materialize(df: DataFrame, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage(spark: SparkSession) -> Iterator[None]:
+    """Collect the intermediate tables written inside, and remove those of the stage before.
+
+    The result of the stage before must have been written by then. Tables written outside any stage stay.
+    """
+    root = _root(spark)
+    if root in _last_stage:
+        _remove(spark, _last_stage.pop(root))
+    _open_stage[root] = _last_stage[root] = f"{root}/stage-{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        del _open_stage[root]
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove every intermediate table of this application; frames that read them end here."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    _remove(spark, _root(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
