@@ -7,33 +7,54 @@ costs one stage's tasks and not the chain behind them.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from arealis.llm import exact_dedup, mixing, near_dedup, packing, quality
-from arealis.sources.scratch import materialize
+from arealis.sources import scratch
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def own_scratch(function: Stage) -> Stage:
+    """Give a stage its own intermediate tables; they go when the next stage begins, its result being written."""
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scratch.stage(spark):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@own_scratch
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@own_scratch
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_copies(docs)
 
 
+@own_scratch
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
     return near_dedup.drop_near_duplicates(docs)
 
 
+@own_scratch
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them, in its order."""
     return mixing.mix(docs)
 
 
+@own_scratch
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in the packed sequences."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -55,5 +76,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        docs = scratch.materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
