@@ -76,6 +76,19 @@ def test_encoder_gives_the_tokenizers_ids(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+MARKED = st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", " b", "Z'é", "日"]), max_size=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(MARKED.map("".join), max_size=5))
+def test_added_tokens_are_those_of_the_tokenizer(texts):
+    whole = Tokenizer.from_file(PATH)
+    texts = [*texts, "a <|endoftext|> b"]
+    got = packing._encoder(*RANKS).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.frombuffer(got[-1], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def check_packing(rows, docs, capacity=packing.CAPACITY):
     whole = Tokenizer.from_file(PATH)
     whole.encode_special_tokens = True
