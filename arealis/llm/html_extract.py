@@ -56,6 +56,8 @@ NAMES = set(
     "pagination pager comment comments disqus replies respond reply footer masthead toolbar skip search "
     "complementary contentinfo".split()
 )
+# A name with one of these words says how a page is laid out or what is allowed on it, as no-sidebar and comments-open.
+LAYOUT = set("no not non has have with without hide hidden open opened closed enabled disabled allowed off".split())
 HEADER_NAMES = {"header", "topbar", "banner", "masthead"}
 
 TAG = re.compile(
@@ -66,17 +68,24 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|dis
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "code")
+    __slots__ = ("tag", "attrs", "children", "code", "holds")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs, self.children, self.code = tag, attrs, [], 0
+        self.holds = False  # an article or main element, or around one
 
     def names(self) -> set[str]:
-        return {
-            word
-            for found in NAMED.findall(self.attrs)
-            for word in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)).lower())
-        }
+        """The words of its names; of an element that is or holds an article only the names of one word."""
+        words: set[str] = set()
+        for found in NAMED.findall(self.attrs):
+            for name in "".join(found).split():
+                parts = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+                if not (parts & LAYOUT or (self.holds and len(parts) > 1)):
+                    words |= parts
+        return words
+
+    def is_main(self) -> bool:
+        return self.tag == "main" or "main" in self.attrs and bool(re.search(r"role\s*=\s*[\"']?main", self.attrs))
 
 
 def parse(page: str) -> Node:
@@ -103,6 +112,9 @@ def parse(page: str) -> Node:
         _make_room(stack, name)
         node = Node(name, tag[3])
         stack[-1].children.append(node)
+        if name == "article" or node.is_main():
+            for holder in [*stack, node]:
+                holder.holds = True
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
@@ -168,7 +180,7 @@ def main_element(root: Node) -> Node:
             if child.tag == "article":
                 articles.append(child)
                 continue
-            if child.tag == "main" or "main" in child.attrs and re.search(r"role\s*=\s*[\"']?main", child.attrs):
+            if child.is_main():
                 mains.append(child)
             find(child)
 

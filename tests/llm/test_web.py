@@ -113,6 +113,19 @@ def test_extract(page, text):
     assert html_extract.extract(page, set()) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout no-sidebar'><article><p>story</article></div>",
+        "<div id='content' class='has-sidebar'><p>story</div><div class='cookie-notice'>cookies</div>",
+        "<div id='content' class='sidebar-left'><main><p>story</main></div><div class=sidebar>side</div>",
+        "<article class='post comments-open'><p>story</article><section id=comments><article class=comment>much longer</article></section>",
+    ],
+)
+def test_names_of_the_layout_do_not_hide_the_article(page):
+    assert html_extract.extract(page, set()) == "story"
+
+
 def test_templates_are_found_per_host(spark):
     """Boxes that recur on a host go, even without a name; an article's repeated prose stays."""
     box = "<div><span>Buy</span> now and here</div>"
