@@ -4,15 +4,15 @@ Element subtrees are hashed, the pages of each host that hold a subtree are coun
 recur across many pages of their host are deleted before the text is taken. What a page has for itself but is
 never part of an article (menus, forms, scripts, adverts, reader comments) goes by its element or its name.
 
-Inside an article, prose (paragraphs, headings, list items, quotations) is never deleted for recurring: articles
-may share passages. Only boxes around it are.
+Inside an article, prose (paragraphs, headings, list items, quotations) and what holds it is not deleted for recurring
+in articles, which may share passages; only if it recurs outside of them as well. Other boxes are. Copies of a page
+are one page.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -209,13 +209,20 @@ def boxes(main: Node) -> Iterator[Node]:
             yield from boxes(child)
 
 
-def candidates(page: str) -> tuple[Node, Node, list[Node]]:
+def _holds_prose(node: Node) -> bool:
+    return any(not isinstance(child, str) and (child.tag in PROSE or _holds_prose(child)) for child in node.children)
+
+
+def candidates(page: str) -> tuple[Node, Node, list[Node], list[Node]]:
+    """The page, its main element, the elements of the main element that may go, and those that count as evidence."""
     root = parse(page)
     hash_subtrees(root)
     main = main_element(root)
     if main is root:
-        return root, main, list(deletable(root, Node("none")))
-    return root, main, [*deletable(root, main), *boxes(main)]
+        may_go = list(deletable(root, Node("none")))
+        return root, main, may_go, may_go
+    may_go = list(boxes(main))
+    return root, main, may_go, [*deletable(root, main), *(box for box in may_go if not _holds_prose(box))]
 
 
 def _links(node: Node) -> tuple[int, int, int]:
@@ -234,7 +241,7 @@ def _links(node: Node) -> tuple[int, int, int]:
 
 def extract(page: str, templates: set[int]) -> str:
     """The main text: its blocks in page order, one per line."""
-    root, main, may_go = candidates(page)
+    root, main, may_go, _ = candidates(page)
     gone = {id(node) for node in may_go if node.code in templates}
     inside = main is not root
     blocks: list[list[str]] = [[]]
@@ -269,28 +276,36 @@ def _hosted(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     return pages.select(
         F.col(key).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("html"), host.alias("host")
-    )
+    ).withColumn("content", F.md5(F.concat_ws(" ", "host", "html").cast("binary")))
 
 
-def find_templates(hosted: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, pages, codes``: the subtrees that recur. A host has at most (elements per page) / min_share of them."""
+def page_elements(hosted: DataFrame) -> DataFrame:
+    """``host, content, copies, evidence``: one row per distinct page of a host, and the codes that count."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[str] = set()
         for batch in batches:
-            seen: Counter = Counter()
-            for host, page in zip(batch["host"], batch["html"], strict=True):
-                seen.update({(host, node.code) for node in candidates(page)[2]})
-                seen[host, None] += 1
-            yield pd.DataFrame(
-                {"host": [h for h, _ in seen], "code": pd.array([c for _, c in seen], "Int64"), "n": list(seen.values())}
-            )
-
-    counted = hosted.select("host", "html").mapInPandas(count, "host string, code long, n long")
-    counted = materialize(counted.groupBy("host", "code").agg(F.sum("n").alias("n")).filter((F.col("n") >= min_pages) | F.col("code").isNull()))
-    totals = counted.filter(F.col("code").isNull()).select("host", F.col("n").alias("pages"))
-    often = F.col("code").isNotNull() & (F.col("n") >= min_pages) & (F.col("n") >= F.col("pages") * min_share)
-    found = counted.join(totals, "host").groupBy("host", "pages").agg(F.sort_array(F.collect_list(F.when(often, F.col("code")))).alias("codes"))
-    return found.filter(F.size("codes") > 0)
+            out = []
+            for host, content, page in zip(batch["host"], batch["content"], batch["html"], strict=True):
+                if content in known:
+                    out.append((host, content, None))
+                    continue
+                known.add(content)
+                out.append((host, content, list({node.code for node in candidates(page)[3]})))
+            yield pd.DataFrame(out, columns=["host", "content", "evidence"])
+
+    rows = hosted.select("host", "content", "html").mapInPandas(read, "host string, content string, evidence array<long>")
+    first = F.first("evidence", ignorenulls=True).alias("evidence")
+    return rows.groupBy("host", "content").agg(F.count(F.lit(1)).alias("copies"), first)
+
+
+def find_templates(hosted: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``host, pages, codes``: the subtrees that recur on distinct pages. A host has at most (elements per page) / min_share."""
+    elements = materialize(page_elements(hosted))
+    counted = elements.select("host", F.explode("evidence").alias("code")).groupBy("host", "code").agg(F.count(F.lit(1)).alias("n"))
+    totals = elements.groupBy("host").agg(F.sum("copies").alias("pages"), F.count(F.lit(1)).alias("distinct"))
+    often = counted.filter(F.col("n") >= min_pages).join(totals, "host").filter(F.col("n") >= F.col("distinct") * min_share)
+    return often.groupBy("host", "pages").agg(F.sort_array(F.collect_list("code")).alias("codes"))
 
 
 def extract_pages(

@@ -144,6 +144,18 @@ def test_templates_are_found_per_host(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_shared_and_copied_articles_keep_their_prose(spark):
+    """Lists and sections that articles share stay, and copies of a page are no evidence; what recurs outside goes."""
+    shared = "<ul><li>shared item</ul><section><p>shared passage</section>"
+    article = "<div><p>Follow us</div><article><h1>T{i}</h1>" + shared + "<div><p>Follow us</div></article>"
+    rows = [(i, "https://a.example/", article.format(i=i)) for i in range(6)]
+    rows += [(10 + i, "https://b.example/", "<article><div>whole story</div></article>") for i in range(6)]
+    rows += [(20 + i, "https://c.example/", "<div><p>whole story</div>") for i in range(6)]
+    text = {r.page_id: r.text for r in html_extract.extract_pages(pages(spark, rows)).collect()}
+    assert text[3] == "T3\nshared item\nshared passage"
+    assert text[12] == text[22] == "whole story"
+
+
 def test_pages_table_matches_a_plain_rule(spark):
     import html
     import re
