@@ -23,11 +23,8 @@ from pyspark.sql import functions as F
 from arealis.llm.common import skew_join
 from arealis.sources.scratch import materialize
 
-# A template recurs on so many pages of its host, and on this share of them.
+# A template recurs on so many distinct pages of its host, however many the host has.
 MIN_PAGES = 5
-MIN_SHARE = 0.005
-# Parts of a hot host: its list of templates is repeated for each.
-SALTS = 8
 # Elements nested deeper stay, as siblings.
 MAX_DEPTH = 200
 
@@ -280,7 +277,7 @@ def _hosted(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
 
 
 def page_elements(hosted: DataFrame) -> DataFrame:
-    """``host, content, copies, evidence``: one row per distinct page of a host, and the codes that count."""
+    """``host, content, copies, evidence, may_go``: one row per distinct page of a host, and its codes."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: set[str] = set()
@@ -288,24 +285,28 @@ def page_elements(hosted: DataFrame) -> DataFrame:
             out = []
             for host, content, page in zip(batch["host"], batch["content"], batch["html"], strict=True):
                 if content in known:
-                    out.append((host, content, None))
+                    out.append((host, content, None, None))
                     continue
                 known.add(content)
-                out.append((host, content, list({node.code for node in candidates(page)[3]})))
-            yield pd.DataFrame(out, columns=["host", "content", "evidence"])
+                _, _, may_go, evidence = candidates(page)
+                out.append((host, content, list({node.code for node in evidence}), list({node.code for node in may_go})))
+            yield pd.DataFrame(out, columns=["host", "content", "evidence", "may_go"])
 
-    rows = hosted.select("host", "content", "html").mapInPandas(read, "host string, content string, evidence array<long>")
-    first = F.first("evidence", ignorenulls=True).alias("evidence")
-    return rows.groupBy("host", "content").agg(F.count(F.lit(1)).alias("copies"), first)
+    kind = "host string, content string, evidence array<long>, may_go array<long>"
+    rows = hosted.select("host", "content", "html").mapInPandas(read, kind)
+    first = [F.first(name, ignorenulls=True).alias(name) for name in ("evidence", "may_go")]
+    return rows.groupBy("host", "content").agg(F.count(F.lit(1)).alias("copies"), *first)
 
 
-def find_templates(hosted: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, pages, codes``: the subtrees that recur on distinct pages. A host has at most (elements per page) / min_share."""
+def find_templates(hosted: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``content, copies, codes``: the subtrees to delete from each distinct page that has such, at most its own."""
     elements = materialize(page_elements(hosted))
     counted = elements.select("host", F.explode("evidence").alias("code")).groupBy("host", "code").agg(F.count(F.lit(1)).alias("n"))
-    totals = elements.groupBy("host").agg(F.sum("copies").alias("pages"), F.count(F.lit(1)).alias("distinct"))
-    often = counted.filter(F.col("n") >= min_pages).join(totals, "host").filter(F.col("n") >= F.col("distinct") * min_share)
-    return often.groupBy("host", "pages").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    often = materialize(counted.filter(F.col("n") >= min_pages))
+    total = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    places = elements.select("host", "content", "copies", F.explode("may_go").alias("code"))
+    found = skew_join(places, often, ["host", "code"], "n", max(1, total), F.col("content"), "inner")
+    return found.groupBy("content", "copies").agg(F.collect_list("code").alias("codes"))
 
 
 def extract_pages(
@@ -314,7 +315,6 @@ def extract_pages(
     url: str = "url",
     payload: str = "html",
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Per row of ``pages``: key, url, ``text`` (empty if none), ``n_chars`` (its code points).
 
@@ -323,20 +323,18 @@ def extract_pages(
     columns are ignored; an empty table gives no rows.
     """
     hosted = _hosted(pages, key, url, payload)
-    templates = materialize(find_templates(hosted, min_pages, min_share))
-    total = templates.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    joined = skew_join(hosted, templates, ["host"], "pages", max(1, total), F.col("page_id"), salts=SALTS)
+    templates = materialize(find_templates(hosted, min_pages))
+    total = templates.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    joined = skew_join(hosted, templates, ["content"], "copies", max(1, total), F.col("page_id"))
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets: dict[str, set[int]] = {}
-            texts = []
-            for host, codes, page in zip(batch["host"], batch["codes"], batch["html"], strict=True):
-                if host not in sets:
-                    sets[host] = set() if codes is None else set(map(int, codes))
-                texts.append(extract(page, sets[host]))
+            texts = [
+                extract(page, set() if codes is None else set(map(int, codes)))
+                for codes, page in zip(batch["codes"], batch["html"], strict=True)
+            ]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     kind = pages.schema[key].dataType.simpleString()
-    out = joined.select("page_id", "url", "host", "html", "codes").mapInPandas(take, f"page_id {kind}, url string, text string")
+    out = joined.select("page_id", "url", "html", "codes").mapInPandas(take, f"page_id {kind}, url string, text string")
     return out.select(F.col("page_id").alias(key), F.col("url").alias(url), "text", F.char_length("text").cast("long").alias("n_chars"))

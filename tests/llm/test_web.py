@@ -156,6 +156,15 @@ def test_shared_and_copied_articles_keep_their_prose(spark):
     assert text[12] == text[22] == "whole story"
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    """A box on five pages goes on a host of 1,500 pages as on a host of five."""
+    box = "<div><span>Buy</span> now and here</div>"
+    page = "<article><h1>T{i}</h1>{b}<p>own {i}</article>"
+    rows = [(i, "https://a.example/", page.format(i=i, b=box if i < 5 else "")) for i in range(1500)]
+    text = {r.page_id: r.text for r in html_extract.extract_pages(pages(spark, rows)).collect()}
+    assert len(text) == 1500 and all(t == f"T{i}\nown {i}" for i, t in text.items())
+
+
 def test_pages_table_matches_a_plain_rule(spark):
     import html
     import re
