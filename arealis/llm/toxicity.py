@@ -9,6 +9,7 @@ function words; scores are shifted so that every language's threshold is 0.7.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +35,7 @@ RATE = 0.05
 SHRINK = 5.0
 SEED = 9
 CACHE_WORDS = 200_000
+BINS = 256  # of a logit, per unit, in the histograms that the thresholds are chosen on
 
 OFFSETS = sum(WIDTHS)
 POOLED = FILTERS * len(WIDTHS)
@@ -205,23 +207,28 @@ def _winners(vectors: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(best), np.concatenate(at)
 
 
-def best_cut(z: np.ndarray, y: np.ndarray) -> float | None:
+def best_cut(z: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float | None:
     """The logit that gives the best F1, in the middle of the gap it lies in; None without both kinds."""
     if len(np.unique(y)) < 2:
         return None
+    weight = np.ones(len(y)) if weight is None else weight
     order = np.argsort(-z, kind="stable")
-    z, y = z[order], y[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    z, y, weight = z[order], y[order], weight[order]
+    hits = np.cumsum(weight * y)
+    f1 = 2 * hits / (np.cumsum(weight) + hits[-1])
     f1[:-1][z[:-1] == z[1:]] = -1  # equal logits cannot be parted
     i = int(np.argmax(f1))
     return float((z[i] + z[i + 1]) / 2) if i + 1 < len(z) else float(z[i]) - 1.0
 
 
-def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> pd.DataFrame:
-    """Labelled texts to learn from, at most MAX_ROWS of each kind."""
+def _marks(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """``key, y`` of the labelled rows that may be learned from."""
     marks = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).dropna()
-    marks = marks.groupBy("key").agg(F.max("y").alias("y")).filter(~held_out(F.col("key"), *HELD_OUT))
+    return marks.groupBy("key").agg(F.max("y").alias("y")).filter(~held_out(F.col("key"), *HELD_OUT))
+
+
+def _sample(docs: DataFrame, marks: DataFrame, key: str, text: str) -> pd.DataFrame:
+    """Labelled texts to train on, at most MAX_ROWS of each kind."""
     known = marks.join(docs.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
     by_hash = [F.xxhash64("key", F.lit(SEED)), F.col("key")]
     chosen = known.filter("y = 1").orderBy(*by_hash).limit(MAX_ROWS)
@@ -231,33 +238,74 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str)
     return rows.toPandas().drop_duplicates("key")
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Train on four fifths of the sample, choose the thresholds on the rest.
+def logits_of(model: ToxicityModel, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, z, language`` of every row."""
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                some = batch.iloc[at : at + 256]
+                z, language = model.logits([tokens(t) for t in some["text"]])
+                yield pd.DataFrame({"key": some["key"], "z": z, "language": language})
+
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return rows.mapInPandas(measure, f"key {docs.schema[key].dataType.simpleString()}, z double, language int")
+
+
+def choose_cuts(model: ToxicityModel, logits: DataFrame, marks: DataFrame, trained: DataFrame) -> None:
+    """Set the thresholds by all labelled rows but the ones trained on, from histograms per language.
+
+    A kind's rows count by the share of them that is left, so that the mix of kinds is that of all rows. If the rows
+    left lack a kind, the ones trained on count too.
+    """
+    scored = logits.groupBy("key").agg(F.min(F.struct("z", "language")).alias("s")).join(marks, "key")
+    scored = scored.join(F.broadcast(trained.withColumn("trained", F.lit(True))), "key", "left")
+    place = F.floor(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("s.z"))) * BINS).alias("bin")
+    counted = scored.groupBy(F.col("s.language").alias("language"), "y", F.coalesce("trained", F.lit(False)).alias("trained"), place)
+    bins = counted.agg(F.count(F.lit(1)).alias("n")).orderBy("language", "y", "trained", "bin").toPandas()
+    bins["y"] = (bins["y"] == 1).astype(int)
+    left = bins[~bins["trained"].astype(bool)]
+    if left["y"].nunique() < 2:
+        left = bins
+    share = left.groupby("y")["n"].sum() / bins.groupby("y")["n"].sum()
+    z, marks_ = (left["bin"].to_numpy(float) + 0.5) / BINS, left["y"].to_numpy(int)
+    n, language = left["n"].to_numpy(float), left["language"].to_numpy(int)
+    weight = n / left["y"].map(share).to_numpy(float)
+    common = best_cut(z, marks_, weight)
+    for i in range(len(LANGUAGES) + 1):
+        mine = language == i
+        enough = (n * marks_)[mine].sum() >= 5
+        cut = best_cut(z[mine], marks_[mine], weight[mine]) if enough else None
+        model.cut[i] = common if cut is None else cut
+
+
+def fit_and_measure(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str = "toxic") -> tuple[ToxicityModel, DataFrame]:
+    """Train on four fifths of the sample, choose the thresholds on all other labelled rows; the model and all logits.
 
     Without labels of both kinds every text scores below the threshold (no or one kind only, clean) or above
     (toxic only).
     """
-    rows = _sample(docs, labels, key, text, label)
+    marks = materialize(_marks(labels, key, label))
+    rows = _sample(docs, marks, key, text)
     y = rows["y"].to_numpy(int) if len(rows) else np.zeros(0, int)
-    texts = [tokens(t) for t in rows["text"]]
-    fold = np.array([zlib.crc32(f"fold {k}".encode()) % 5 == 0 for k in rows["key"]], bool)
     if len(np.unique(y)) < 2:
         model = train([], np.zeros(0, int))
         model.cut[:] = -20.0 if len(y) and y[0] == 1 else 20.0
-        return model
+        return model, logits_of(model, docs, key, text)
+    fold = np.array([zlib.crc32(f"fold {k}".encode()) % 5 == 0 for k in rows["key"]], bool)
     if len(np.unique(y[fold])) < 2 or len(np.unique(y[~fold])) < 2:
         fold = np.zeros(len(y), bool)
-    model = train([t for t, f in zip(texts, fold, strict=True) if not f], y[~fold])
-    used = fold if fold.any() else ~fold
-    z, language = model.logits([t for t, f in zip(texts, used, strict=True) if f])
-    marks = y[used]
-    common = best_cut(z, marks)
-    for i in range(len(LANGUAGES) + 1):
-        mine = language == i
-        enough = mine.any() and marks[mine].sum() >= 5
-        cut = best_cut(z[mine], marks[mine]) if enough else None
-        model.cut[i] = common if cut is None else cut
-    return model
+    model = train([tokens(t) for t, f in zip(rows["text"], fold, strict=True) if not f], y[~fold])
+    logits = materialize(logits_of(model, docs, key, text))
+    kind = docs.schema[key].dataType.simpleString()
+    trained = docs.sparkSession.createDataFrame([(k,) for k in rows["key"][~fold].tolist()], f"key {kind}")
+    choose_cuts(model, logits, marks, trained)
+    return model, logits
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
+    """The model alone; see fit_and_measure."""
+    return fit_and_measure(docs, labels, key, text, label)[0]
 
 
 def score(model: ToxicityModel) -> Column:
@@ -278,6 +326,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     A null text is empty and scores by its lack of words; null keys are scored too and never learned from; rows
     that repeat are scored alike; other columns are ignored; an empty table gives no rows.
     """
-    model = fit(docs, labels, key, text)
-    scored = docs.select(F.col(key), held_out(F.col(key), *HELD_OUT).alias("held_out"), score(model)(F.col(text)).alias("score"))
+    model, logits = fit_and_measure(docs, labels, key, text)
+    cut = F.element_at(F.array(*[F.lit(float(c)) for c in model.cut]), F.col("language") + 1)
+    shifted = F.col("z") - cut + float(np.log(THRESHOLD / (1 - THRESHOLD)))
+    shifted = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), shifted))
+    scored = logits.select(
+        F.col("key").alias(key), held_out(F.col("key"), *HELD_OUT).alias("held_out"), (1 / (1 + F.exp(-shifted))).alias("score")
+    )
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

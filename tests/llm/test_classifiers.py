@@ -73,3 +73,19 @@ def test_gradient_reaches_rare_stems():
     model = toxicity.train(texts, np.array(y))
     z, _ = model.logits([[*rng.choice(plain, 30), "zarqunseen"], list(rng.choice(plain, 30))])
     assert z[0] > z[1] + 2
+
+
+def test_thresholds_are_chosen_on_all_labelled_rows(spark, monkeypatch):
+    """With few rows trained on, as many of either kind, the thresholds still see the mix of all rows."""
+    folder = "/root/testdata/sf0.01"
+    seen = []
+    best = toxicity.best_cut
+    monkeypatch.setattr(toxicity, "MAX_ROWS", 15)
+    monkeypatch.setattr(toxicity, "best_cut", lambda z, y, *w: seen.append((y, *w)) or best(z, y, *w))
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    toxicity.fit(docs, labels)
+    marks = labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    marks = marks.filter(~toxicity.held_out(marks["doc_id"], *toxicity.HELD_OUT)).dropDuplicates(["doc_id"])
+    y, weight = seen[0]
+    assert weight.sum() == pytest.approx(marks.count())
+    assert (weight * y).sum() == pytest.approx(marks.filter("toxic = 1").count())
