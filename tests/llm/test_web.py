@@ -126,6 +126,42 @@ def test_names_of_the_layout_do_not_hide_the_article(page):
     assert html_extract.extract(page, set()) == "story"
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<form id=aspnetForm><main><article><p>story</article></main></form>", "story"),
+        ("<form><input value=1>Sign</form><article><p>story</article>", "story"),
+        ("<section class='widget'><article><p>story</article></section>", "story"),
+        ("<aside><article><p>teaser that is longer than the story</article></aside><article><p>story</article>", "story"),
+        ("<article><h2 id='related-work'>Related work</h2><p>a<h2 id='social-impact'>Impact</h2><p>b</article>", "Related work\na\nImpact\nb"),
+        ("<article><p id='notice-period'>Notice<section id='search-methods'><p>How</section></article>", "Notice\nHow"),
+        ("<article><p>a<div class='share buttons'>Share</div><div id=comments><p>nice</div></article>", "a"),
+        ("<article><p>a<div class='share-price'>5 EUR</div></article>", "a\n5 EUR"),
+        ("<p>See<ul><li><a href=1>First source</a><li><a href=2>Second source</a></ul><p>for more", "See\nFirst source\nSecond source\nfor more"),
+        ("<ul><li><a href=1>Home</a><li><a href=2>News</a></ul><p>story", "story"),
+        ("<p id='cookie-law'>Law of cookies</p><p class='notice'>We use cookies</p>", "Law of cookies"),
+    ],
+)
+def test_names_hide_no_prose(page, text):
+    assert html_extract.extract(page, set()) == text
+
+
+def test_pages_without_an_article_keep_inline_elements_headings_and_paragraphs(spark):
+    """What recurs inside sentences or between paragraphs stays; boxes go, large ones on more pages only."""
+    page = "<div>Buy now</div><h2>Introduction</h2><p>Page {i} is <em>not</em> about number 1; see <code>SELECT</code> in row 0.{tail}"
+    rows = [(i, f"https://a.example/{i}", page.format(i=i, tail="")) for i in range(6)]
+    shared = "<p>The same words on all pages.<h3>More</h3><p>Text {i}<p>Rights kept"
+    rows += [(10 + i, f"https://b.example/{i}", page.format(i=i, tail=shared.format(i=i))) for i in range(6)]
+    large = "<div><p>" + "many words " * 60 + "</div><p>own {i}"
+    rows += [(20 + i, f"https://c.example/{i}", large.format(i=i)) for i in range(6)]
+    rows += [(30 + i, f"https://d.example/{i}", large.format(i=i)) for i in range(12)]
+    text = {r.page_id: r.text for r in html_extract.extract_pages(pages(spark, rows)).collect()}
+    assert text[4] == "Introduction\nPage 4 is not about number 1; see SELECT in row 0."
+    assert text[14] == text[4] + "\nThe same words on all pages.\nMore\nText 4"
+    assert text[24] == ("many words " * 60).strip() + "\nown 4"
+    assert text[34] == "own 4"
+
+
 def test_templates_are_found_per_host(spark):
     """Boxes that recur on a host go, even without a name; an article's repeated prose stays."""
     box = "<div><span>Buy</span> now and here</div>"
