@@ -3,8 +3,8 @@
 The packing depends on lengths only, and there are at most ``capacity`` of them, so it is planned on the histogram of
 all piece lengths: a bin is filled greedily with the largest piece that fits, then its smallest piece gives way
 to the two unpacked pieces that fill the bin most tightly. The same bin is repeated as often as its pieces last,
-which is what the sequential method would do. Every such step uses up a length, so the plan has at most
-``capacity`` patterns whatever the corpus. The pieces find their places by their rank among equal lengths.
+which is what the sequential method would do. A step uses up a length, or leaves fewer pieces of it than a bin takes,
+which then go into one more pattern: the plan has a few patterns per length at most, whatever the corpus. The pieces find their places by their rank among equal lengths.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from arealis.sources.scratch import materialize
 CAPACITY = 2048
 SEPARATOR = 0
 CACHE_WORDS = 800_000
+# Longer parts, as whole paragraphs of scripts that are written without spaces, are not kept.
+CACHED_CHARS = 32
 DOCS_AT_ONCE = 256
 
 # A space before a word character always begins a token of a byte-level BPE with the usual splitting pattern.
@@ -83,11 +86,16 @@ class Encoder:
         return out
 
     def _plain(self, text: str) -> bytes:
-        known, of = self.known, self.bpe.encode_ordinary
+        known, of, long = self.known, self.bpe.encode_ordinary, {}
         parts = self._cut(text)
         for part in parts:
             if part not in known:
-                known[part] = array("I", of(part)).tobytes()
+                if len(part) > CACHED_CHARS:
+                    long[part] = array("I", of(part)).tobytes()
+                else:
+                    known[part] = array("I", of(part)).tobytes()
+        if long:
+            return b"".join([long[part] if part in long else known[part] for part in parts])
         return b"".join([known[part] for part in parts])
 
 
@@ -105,26 +113,31 @@ def pieces(
     and of its pieces only the first may be shorter. ``ids`` are little-endian unsigned 32-bit bytes.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = docs.schema[key].dataType.simpleString()
+    schema = f"row long, key {kind}, piece int, start long, length long, ids binary"
+    arrow = docs.sparkSession.createDataFrame([], schema).toArrow().schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
         end = np.array([SEPARATOR], "<u4").tobytes()
         for batch in batches:
             for at in range(0, len(batch), DOCS_AT_ONCE):
-                some = batch.iloc[at : at + DOCS_AT_ONCE]
+                some = batch.slice(at, DOCS_AT_ONCE)
                 out = []
-                for row, id_, ids in zip(some["row"], some["key"], encoder.encode(list(some["text"])), strict=True):
+                columns = some["row"].to_pylist(), some["key"].to_pylist(), encoder.encode(some["text"].to_pylist())
+                for row, id_, ids in zip(*columns, strict=True):
                     ids += end
                     n = len(ids) // 4
                     starts = [0, *range(n % capacity or capacity, n, capacity)]
                     for i, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
                         out.append((row, id_, i, a, b - a, ids[4 * a : 4 * b]))
-                yield pd.DataFrame(out, columns=["row", "key", "piece", "start", "length", "ids"])
+                found = zip(zip(*out, strict=True), arrow, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in found], schema=arrow)
 
-    kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    return rows.mapInPandas(cut, f"row long, key {kind}, piece int, start long, length long, ids binary")
+    return rows.mapInArrow(cut, schema)
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:

@@ -15,6 +15,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,6 @@ FEATURES = 192
 RIDGE = 1e-2
 WIDTH = 1.5
 SEED = 5
-FIT_PARTITIONS = 64
 THRESHOLD = 0.3
 HELD_OUT = (5, 0)  # crc32 of the key modulo 5 is 0: never learned from
 CALIBRATION = (5, 4)
@@ -117,12 +117,13 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, x``: the statistics of every row."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "x": [statistics(t) for t in batch["text"]]})
+            found = [statistics(t.as_py()) for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found, pa.list_(pa.float64()))], ["key", "x"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
         measure, f"key {kind}, x array<double>"
     )
 
@@ -135,7 +136,7 @@ def fit(measured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     marks = labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("y")).dropna()
     marks = marks.groupBy("key").agg(F.max("y").alias("y")).filter(~held_out(F.col("key"), *HELD_OUT))
     rows = measured.join(marks, "key").withColumn("calibrate", held_out(F.col("key"), *CALIBRATION))
-    train = materialize(rows.repartition(FIT_PARTITIONS))
+    train = materialize(rows)
     rng = np.random.default_rng(SEED)
     d = STATISTICS
     at = [F.col("x")[i] for i in range(d)]
@@ -192,7 +193,12 @@ def _ridge(train: DataFrame, model: QualityModel) -> np.ndarray:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, held_out, score, predicted`` for every row; a null text is empty, a null key is scored too."""
+    """``key, held_out, score, predicted`` for every row.
+
+    A null text counts as empty, and empty texts are scored by their statistics, all zero. A null key is scored and
+    never learned from. Texts of any length are measured whole; rows that repeat are scored alike; of several labels of a key
+    the greatest counts; other columns are ignored; an empty table gives no rows.
+    """
     measured = materialize(text_statistics(docs, key, text))
     model = fit(measured, labels, key)
     score = F.pandas_udf(lambda x: pd.Series(model.score(np.stack(x)) if len(x) else []), "double")
@@ -201,7 +207,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with all columns and without a shuffle of texts."""
+    """The rows of ``docs`` whose score reaches the threshold, with all columns and without a shuffle of texts.
+
+    Null keys, null, empty and long texts and repeated rows are scored like all others; an empty table stays empty.
+    """
     marked = labels.select(F.col(key).alias("_key")).distinct()
     learnable = docs.select(key, text).join(marked, F.col(key) == F.col("_key"), "left_semi")
     model = fit(materialize(text_statistics(learnable, key, text)), labels, key)

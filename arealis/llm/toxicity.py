@@ -11,9 +11,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +36,11 @@ BATCH = 64
 RATE = 0.05
 SHRINK = 5.0
 SEED = 9
+# Longer texts are not learned from, so that the sample fits the driver whatever the texts; all are scored whole.
+MAX_BYTES = 1 << 17
 CACHE_WORDS = 200_000
+AT_ONCE = 256
+PLACES = 1 << 15  # of words that are pooled at once, if no text has more
 BINS = 256  # of a logit, per unit, in the histograms that the thresholds are chosen on
 
 OFFSETS = sum(WIDTHS)
@@ -100,12 +106,22 @@ class ToxicityModel:
         """The logit and the language (a place in LANGUAGES, or one beyond) of each text."""
         z, language = np.zeros(len(texts)), np.zeros(len(texts), int)
         self._learn_words(texts)
-        for i, words in enumerate(texts):
-            ids = np.array([self.rows[word] for word in words] + [0] * max(WIDTHS), np.int64)
-            pooled = np.maximum(_pool(self.table[ids]) + self.bias, 0)
-            z[i] = pooled @ self.out + self.out_bias
-            spoken = self.speech[ids].sum(0)
-            language[i] = int(spoken.argmax()) if spoken.max() > 0 else len(LANGUAGES)
+        # Texts go end to end, each followed by padding, in stretches of bounded size.
+        pad, first = [0] * max(WIDTHS), 0
+        while first < len(texts):
+            last, n = first, 0
+            while last < len(texts) and (last == first or n + len(texts[last]) + len(pad) <= PLACES):
+                n += len(texts[last]) + len(pad)
+                last += 1
+            some = texts[first:last]
+            rows = self.rows
+            ids = np.array([i for words in some for i in chain(map(rows.__getitem__, words), pad)], np.int64)
+            starts = np.cumsum([0, *(len(words) + len(pad) for words in some[:-1])])
+            pooled = np.maximum(_pool(self.table[ids], starts) + self.bias, 0)
+            z[first:last] = pooled @ self.out + self.out_bias
+            spoken = np.add.reduceat(self.speech[ids], starts)
+            language[first:last] = np.where(spoken.max(1) > 0, spoken.argmax(1), len(LANGUAGES))
+            first = last
         return z, language
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -113,15 +129,23 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z - self.cut[language] + np.log(THRESHOLD / (1 - THRESHOLD)), -30, 30)))
 
 
-def _pool(added: np.ndarray) -> np.ndarray:
-    """Maximum of each filter over all places; ``added`` has the places in rows."""
+def _pool(added: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Maximum of each filter over all places of each text; ``added`` has the places in rows, ``starts`` where texts begin.
+
+    A text's own places end where its padding does, so that no filter reaches into the next text.
+    """
     out, first = [], 0
+    ends = np.append(starts[1:], len(added))
     for width in WIDTHS:
         n = len(added) - width + 1
-        total = sum(added[j : j + n, (first + j) * FILTERS : (first + j + 1) * FILTERS] for j in range(width))
-        out.append(total.max(0))
+        total = added[:n, first * FILTERS : (first + 1) * FILTERS].copy()
+        for j in range(1, width):
+            total += added[j : j + n, (first + j) * FILTERS : (first + j + 1) * FILTERS]
+        for j in range(1, width):  # places whose window leaves the text
+            total[(ends - j)[ends - j < n]] = -np.inf
+        out.append(np.maximum.reduceat(total, starts))
         first += width
-    return np.concatenate(out)
+    return np.hstack(out)
 
 
 def train(texts: list[list[str]], y: np.ndarray) -> ToxicityModel:
@@ -227,29 +251,35 @@ def _marks(labels: DataFrame, key: str, label: str) -> DataFrame:
     return marks.groupBy("key").agg(F.max("y").alias("y")).filter(~held_out(F.col("key"), *HELD_OUT))
 
 
-def _sample(docs: DataFrame, marks: DataFrame, key: str, text: str) -> pd.DataFrame:
-    """Labelled texts to train on, at most MAX_ROWS of each kind."""
-    known = marks.join(docs.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
+def _sample(docs: DataFrame, marks: DataFrame, key: str, text: str) -> list[tuple]:
+    """Labelled ``(key, y, text)`` to train on by key, at most MAX_ROWS of each kind with at most MAX_BYTES of text each.
+
+    A key with several texts has the first of them in order. Repeated rows are one before they leave Spark.
+    """
+    texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    fitting = texts.filter(F.octet_length("text") <= MAX_BYTES)
+    known = marks.join(fitting.select("key").distinct(), "key", "left_semi")
     by_hash = [F.xxhash64("key", F.lit(SEED)), F.col("key")]
     chosen = known.filter("y = 1").orderBy(*by_hash).limit(MAX_ROWS)
     chosen = materialize(chosen.union(known.filter("y = 0").orderBy(*by_hash).limit(MAX_ROWS)))
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "key").orderBy("key", "text")  # chosen has 2 * MAX_ROWS rows at most
-    return rows.toPandas().drop_duplicates("key")
+    rows = fitting.join(F.broadcast(chosen), "key")  # chosen has 2 * MAX_ROWS rows at most
+    rows = rows.groupBy("key").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    return sorted((r.key, r.y, r.text) for r in rows.collect())
 
 
 def logits_of(model: ToxicityModel, docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, z, language`` of every row."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.iloc[at : at + 256]
-                z, language = model.logits([tokens(t) for t in some["text"]])
-                yield pd.DataFrame({"key": some["key"], "z": z, "language": language})
+            for at in range(0, len(batch), AT_ONCE):
+                some = batch.slice(at, AT_ONCE)
+                z, language = model.logits([tokens(t.as_py()) for t in some["text"]])
+                columns = [some["key"], pa.array(z, pa.float64()), pa.array(language, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "z", "language"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(measure, f"key {docs.schema[key].dataType.simpleString()}, z double, language int")
+    return rows.mapInArrow(measure, f"key {docs.schema[key].dataType.simpleString()}, z double, language int")
 
 
 def choose_cuts(model: ToxicityModel, logits: DataFrame, marks: DataFrame, trained: DataFrame) -> None:
@@ -287,18 +317,19 @@ def fit_and_measure(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     """
     marks = materialize(_marks(labels, key, label))
     rows = _sample(docs, marks, key, text)
-    y = rows["y"].to_numpy(int) if len(rows) else np.zeros(0, int)
+    y = np.array([row[1] for row in rows], int)
     if len(np.unique(y)) < 2:
         model = train([], np.zeros(0, int))
         model.cut[:] = -20.0 if len(y) and y[0] == 1 else 20.0
         return model, logits_of(model, docs, key, text)
-    fold = np.array([zlib.crc32(f"fold {k}".encode()) % 5 == 0 for k in rows["key"]], bool)
+    fold = np.array([zlib.crc32(f"fold {k}".encode()) % 5 == 0 for k, _, _ in rows], bool)
     if len(np.unique(y[fold])) < 2 or len(np.unique(y[~fold])) < 2:
         fold = np.zeros(len(y), bool)
-    model = train([tokens(t) for t, f in zip(rows["text"], fold, strict=True) if not f], y[~fold])
+    learned = [row for row, f in zip(rows, fold, strict=True) if not f]
+    model = train([tokens(row[2]) for row in learned], y[~fold])
     logits = materialize(logits_of(model, docs, key, text))
     kind = docs.schema[key].dataType.simpleString()
-    trained = docs.sparkSession.createDataFrame([(k,) for k in rows["key"][~fold].tolist()], f"key {kind}")
+    trained = docs.sparkSession.createDataFrame([(row[0],) for row in learned], f"key {kind}")
     choose_cuts(model, logits, marks, trained)
     return model, logits
 

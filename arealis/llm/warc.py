@@ -17,7 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +35,9 @@ VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 # The text writer must end rows with something: an empty gzip member adds nothing to the archive.
 FEED = 1 << 14  # bytes given to the decompressor at once
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+# A file ends with the record that reaches so many bytes; the reader takes whole files.
+FILE_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 
 def mark_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html", min_bytes: int = MIN_REVISIT) -> DataFrame:
@@ -56,13 +59,13 @@ def mark_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html",
     return found.withColumn("_refers_to", refers).drop("_first", "_n")
 
 
-def _urn(key) -> str:
-    return f"<urn:page:{'' if pd.isna(key) else int(key)}>"
+def _urn(key: int | None) -> str:
+    return f"<urn:page:{'' if key is None else key}>"
 
 
-def _record(key, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
+def _record(key: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    revisit = not pd.isna(refers_to)
+    revisit = refers_to is not None
     block = head if revisit else head + payload
     uri = re.sub(r"[\x00-\x20\x7f-\U0010ffff]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "replace")), url or "")
     lines = [
@@ -88,24 +91,60 @@ def write_warc(
     payload: str = "html",
     compressed: bool = True,
     min_bytes: int = MIN_REVISIT,
-    records_per_file: int = 20_000,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
-    """Write one record per row of ``pages`` and return the folder. Equal payloads are written once."""
+    """Write one record per row of ``pages`` and return the folder. Equal payloads are written once.
+
+    A task begins a new file, in a folder of its own, after ``file_bytes`` bytes of records. Rows that repeat are
+    records of their own; null keys, urls and payloads are written as empty; other columns are ignored; an empty
+    table gives an empty folder.
+    """
     spark = pages.sparkSession
     path = path or f"{shared_folder(spark)}/warc"
     marked = mark_revisits(pages.select(key, url, payload), key, payload, min_bytes)
+    names = ["key", "url", "payload", "digest", "refers_to"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = 0
 
-    @F.pandas_udf("binary")
-    def record(key_: pd.Series, url_: pd.Series, body: pd.Series, digest: pd.Series, refers: pd.Series) -> pd.Series:
-        out = (_record(*row) for row in zip(key_, url_, body, digest, refers, strict=True))
-        return pd.Series([gzip.compress(x, 6, mtime=0) if compressed else x[: -len(END)] for x in out], dtype=object)
+        def packed(rows: Iterator[tuple]) -> Iterator[tuple[bytes, int]]:
+            nonlocal written
+            for row in rows:
+                whole = _record(*row)
+                value = gzip.compress(whole, 6, mtime=0) if compressed else whole[: -len(END)]
+                yield value, written // file_bytes
+                written += len(value)
+
+        for batch in batches:
+            rows = zip(*[(v.as_py() for v in batch[name]) for name in names], strict=True)
+            yield from _batches(packed(rows), pa.schema([("value", pa.binary()), ("file", pa.int64())]))
 
-    rows = marked.select(record(key, url, "_payload", "_digest", "_refers_to").cast("string").alias("value"))
-    writer = rows.write.option("maxRecordsPerFile", records_per_file).option("encoding", "ISO-8859-1")
+    rows = marked.select(key, url, "_payload", "_digest", "_refers_to").toDF(*names)
+    rows = rows.mapInArrow(pack, "value binary, file long").withColumn("value", F.col("value").cast("string"))
+    writer = rows.write.partitionBy("file").option("encoding", "ISO-8859-1")
     writer.option("lineSep", (EMPTY_MEMBER if compressed else END).decode("latin-1")).text(path)
     return path
 
 
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows, each with one large value, in batches of bounded size."""
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        columns = zip(zip(*held, strict=True), schema, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in columns], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += 200 + max((len(value) for value in row if isinstance(value, bytes)), default=0)
+        if size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 def _parse(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record that begins at ``at`` and the place after it, or the check that failed."""
     line = VERSION_LINE.match(data, at)
@@ -223,24 +262,20 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     A record has a null ``reason``; its ``payload`` is the body after the HTTP head, null for a revisit, whose
     ``payload_bytes`` and ``payload_digest`` are those of the payload it refers to. A gap has the bytes from
-    ``begin`` to ``end`` of ``file`` and the check that failed. An empty file gives no rows. Files are read whole,
-    one at a time, so an archive must fit a task's memory; the writer's ``records_per_file`` sees to it.
+    ``begin`` to ``end`` of ``file`` and the check that failed. An empty file gives no rows. Keys are exact at any
+    size. Files are read whole, one at a time, so an archive must fit a task's memory and 2 GB; the writer's
+    ``file_bytes`` sees to it for all but a file of one larger record.
     """
+    schema = spark.createDataFrame([], ROW).toArrow().schema
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in ROW.split(", ")]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, data in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                for begin, found, reason in salvage(bytes(data)):
-                    rows.append(_row(file, begin, found, reason))
-                    if len(rows) == 1000:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-                yield pd.DataFrame(rows, columns=names)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(read, ROW)
+            for file, value in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                found = salvage(value.as_py())
+                yield from _batches((_row(file, *entry) for entry in found), schema)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(read, ROW)
 
 
 def _row(file: str, begin: int, found, reason: str | None) -> tuple:
