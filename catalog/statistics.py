@@ -8,7 +8,6 @@ from arealis.operators import correlation, distribution, quantiles
 from arealis.operators.rates import add_rates, count_events, population_floor
 from arealis.plans import study, views
 from arealis.presets import analysis
-from arealis.sources import scratch
 from catalog.rates import BASE, FULL, FULL_BASE, OCC_UNITS, full_rate_base, rate_base
 from catalog.registry import query, rounded, with_adapters
 from catalog.units import unit_tables
@@ -35,8 +34,7 @@ def _summary_sql(name: str, source: str) -> str:
 )
 def summary_stats(t):
     described = ["tx_crimes_1000_hab", "qt_pessoas"]
-    base = scratch.materialize(rate_base(t).select(*described))
-    return rounded(distribution.summary_stats(base, described), SUMMARY)
+    return rounded(distribution.summary_stats(rate_base(t), described), SUMMARY)
 
 
 @query(
@@ -89,9 +87,7 @@ def histogram_50(t):
 
 @query("histogram_p99", P99_VALUES + _histogram_sql("cut"))
 def histogram_p99(t):
-    events = t.table("events")
-    (p99,) = quantiles.exact_quantiles(events, "value", [0.99])
-    return rounded(distribution.histogram(events, "value", at_most=p99), ["lower", "upper"])
+    return rounded(distribution.histogram(t.table("events"), "value", up_to=0.99), ["lower", "upper"])
 
 
 def _box_sql(source: str) -> str:
@@ -115,9 +111,7 @@ def boxplot_stats(t):
 
 @query("boxplot_p99", P99_VALUES + _box_sql("cut"))
 def boxplot_p99(t):
-    events = t.table("events")
-    (p99,) = quantiles.exact_quantiles(events, "value", [0.99])
-    return rounded(distribution.box_stats(events, "value", at_most=p99), BOX)
+    return rounded(distribution.box_stats(t.table("events"), "value", up_to=0.99), BOX)
 
 
 def _corr_sql(variables, where: str = "TRUE", source: str = "base") -> str:
@@ -199,5 +193,4 @@ def corr_subset(t):
 )
 def summary_populated(t):
     populated = population_floor(rate_base(t), analysis.POPULATION_FLOOR_DESCRIPTIVE)
-    base = scratch.materialize(populated.select(analysis.LOG_RATE))
-    return rounded(distribution.summary_stats(base, [analysis.LOG_RATE]), SUMMARY)
+    return rounded(distribution.summary_stats(populated, [analysis.LOG_RATE]), SUMMARY)

@@ -37,7 +37,7 @@ def test_quantiles_match_numpy(spark, values, monkeypatch):
     df = frame(spark, [*values, None, math.nan, math.inf, -math.inf])
     expected = list(np.quantile(values, LEVELS))
     assert quantiles.exact_quantiles(df, "v", LEVELS) == pytest.approx(expected, abs=1e-9)
-    monkeypatch.setattr(quantiles, "ACCURACY", 50)  # several rounds of brackets
+    monkeypatch.setattr(quantiles, "CAPACITY", 50)  # several rounds of brackets
     assert quantiles.exact_quantiles(df, "v", LEVELS) == pytest.approx(expected, abs=1e-9)
 
 
@@ -54,20 +54,89 @@ def test_quantiles_of_nothing(spark):
 
 def test_brackets_recover_from_a_bad_sketch(spark, monkeypatch):
     """Bounds on the wrong side of a rank are noticed and drawn again, wider."""
-    honest, margins = quantiles._sketch_bounds, []
+    honest, margins = quantiles.RankSearch._bounds, []
 
-    def wrong_at_first(values, brackets, margin):
+    def wrong_at_first(search, parts, margin):
         margins.append(margin)
-        bounds = honest(values, brackets, margin)
+        bounds = honest(search, parts, margin)
         return [(i, low + 1e6, high + 1e6, ranks) for i, low, high, ranks in bounds] if len(margins) == 1 else bounds
 
-    monkeypatch.setattr(quantiles, "_sketch_bounds", wrong_at_first)
+    monkeypatch.setattr(quantiles, "CAPACITY", 50)
+    monkeypatch.setattr(quantiles.RankSearch, "_bounds", wrong_at_first)
     values = hot(2000)
     got = quantiles.exact_quantiles(frame(spark, values), "v", LEVELS)
     assert got == pytest.approx(list(np.quantile(values, LEVELS)), abs=1e-9)
     assert margins[:2] == [2.0, 4.0]
 
 
+def counted(spark, df):
+    """The frame, and a function that tells how often it was read whole."""
+    read, n = spark.sparkContext.accumulator(0), df.count()
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), lambda: read.value / n
+
+
+def test_scans(spark, monkeypatch):
+    """One scan settles small columns, two those whose brackets are small; a cut at a quantile needs no other search."""
+    values = hot(4000)
+    small = spark.createDataFrame([(v, v * v) for v in values], "v double, w double")
+    levels = [0.25, 0.5, 0.99]
+    df, scans = counted(spark, small)
+    got = quantiles.quantiles_of_columns(df, {"v": levels, "w": levels})
+    assert got["w"] == pytest.approx(list(np.quantile(np.square(values), levels))) and scans() == 1
+    df, scans = counted(spark, small)
+    assert distribution.summary_stats(df, ["v", "w"]).count() == 2 and scans() == 1
+    monkeypatch.setattr(quantiles, "CAPACITY", 1500)
+    df, scans = counted(spark, small)
+    assert quantiles.exact_quantiles(df, "v", levels) == pytest.approx(list(np.quantile(values, levels))) and scans() == 2
+    df, scans = counted(spark, small)
+    distribution.box_stats(df, "v", up_to=0.99).collect()
+    assert scans() == 3  # the whiskers are looked for where the quartiles are known
+    df, scans = counted(spark, small)
+    distribution.histogram(df, "v", up_to=0.99).collect()
+    assert scans() == 3
+    monkeypatch.undo()
+    df, scans = counted(spark, small)
+    distribution.histogram(df, "v").collect()
+    assert scans() == 2
+
+
+@pytest.mark.parametrize(
+    "values",
+    [hot(3000), [1.0] * 10, [float(i) for i in range(101)], [1.0] * 50 + [2.0] * 300, [4.0], [3.0, 9.0], [0.0] * 98 + [5.0, 5.0]],
+    ids=["hot", "constant", "distinct", "tied", "one", "two", "tied-at-the-end"],
+)
+def test_cut_at_a_quantile(spark, monkeypatch, values):
+    """Quartiles and bins of the values up to P99, also where many equal it."""
+    monkeypatch.setattr(quantiles, "CAPACITY", 50)
+    df = frame(spark, [*values, None, math.nan])
+    limit = np.quantile(values, 0.99)
+    kept = [v for v in values if v <= limit]
+    search = quantiles.RankSearch(df, ["v"])
+    got_limit, size, quartiles = search.up_to_quantile("v", 0.99, distribution.QUARTILES)
+    assert (got_limit, size) == (pytest.approx(limit), len(kept))
+    assert quartiles == pytest.approx(list(np.quantile(kept, distribution.QUARTILES)))
+    row = distribution.box_stats(df, "v", up_to=0.99).first()
+    assert (row["count"], row.q1, row.q3) == (len(kept), pytest.approx(np.quantile(kept, 0.25)), pytest.approx(np.quantile(kept, 0.75)))
+    counts, edges = np.histogram(kept, bins=50)
+    bins = distribution.histogram(df, "v", up_to=0.99).orderBy("bin").collect()
+    assert [r["count"] for r in bins] == list(counts)
+    assert [r.lower for r in bins] + [bins[-1].upper] == pytest.approx(list(edges))
+
+
+def test_cut_of_nothing(spark):
+    df = frame(spark, [None])
+    assert distribution.box_stats(df, "v", up_to=0.99).first()["count"] == 0
+    bins = distribution.histogram(df, "v", up_to=0.99).collect()
+    assert len(bins) == 50 and {(r.lower, r["count"]) for r in bins} == {(None, 0)}
+    assert distribution.summary_stats(df, ["v"]).first()["count"] == 0
+
+
 def test_approximate_quantiles_are_near(spark):
     values = [float(i) for i in range(1001)]
     got = {r.probability: r.value for r in quantiles.approximate_quantiles(frame(spark, values), "v", (0.25, 0.9)).collect()}
