@@ -17,11 +17,13 @@ def under(folder: str, path: str) -> str:
 
 
 def clean(spark: SparkSession, data: str, years: list[str]) -> None:
-    """Clean the landed sheets, then report missing dates per year."""
+    """Clean the landed sheets, and report missing dates per year and what failed."""
     at = partial(under, data)
-    cleaned = batch.clean_years(spark, years, at(layout.RAW_SHEETS), at(layout.CLEAN_SHEETS))
-    tables = {year: spark.read.parquet(path) for year, path in cleaned.items()}
-    batch.missing_dates(tables).orderBy("ano").show(len(years))
+    outcomes = batch.clean_and_count(spark, years, at(layout.RAW_SHEETS), at(layout.CLEAN_SHEETS))
+    counts = "total long, total_null long, total_empty long"
+    batch.outcome_table(spark, outcomes, counts).orderBy("item").show(len(years), truncate=False)
+    if failures := [outcome.error for outcome in outcomes if outcome.error]:
+        raise ExceptionGroup("some years failed", failures)
 
 
 def split(spark: SparkSession, data: str, years: list[str]) -> None:
@@ -31,9 +33,10 @@ def split(spark: SparkSession, data: str, years: list[str]) -> None:
 
 
 def curate(spark: SparkSession, data: str, years: list[str]) -> None:
-    """Gather the located quarter files into the partitioned table."""
+    """Gather the located quarter files into the partitioned table; quarters whose files are as before stay."""
     at = partial(under, data)
-    batch.curate(spark, at(layout.LOCATED_QUARTERS), years, at(layout.CURATED))
+    changed, gone = batch.curate_changed(spark, at(layout.LOCATED_QUARTERS), years, at(layout.CURATED))
+    print(f"rewritten: {', '.join(changed) or 'none'}; dropped: {', '.join(gone) or 'none'}")
 
 
 def census(spark: SparkSession, data: str, levels: list[str]) -> None:

@@ -35,14 +35,19 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+def missing_counts(name: str) -> dict[str, Column]:
+    """Aggregates: rows, NULLs and empty texts of one column."""
+    value = column(name)
+    return {
+        "total": F.count("*"),
+        "total_null": F.count_if(value.isNull()),
+        "total_empty": F.count_if(value.cast("string") == ""),
+    }
+
+
 def missing_by(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Rows, NULLs and empty texts of one column per group."""
-    value = column(name)
-    return df.groupBy(*by).agg(
-        F.count("*").alias("total"),
-        F.count_if(value.isNull()).alias("total_null"),
-        F.count_if(value.cast("string") == "").alias("total_empty"),
-    )
+    return df.groupBy(*by).agg(*[count.alias(part) for part, count in missing_counts(name).items()])
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,8 +11,17 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _seen: set[str] = set()
-_open_stage: dict[str, str] = {}
-_last_stage: dict[str, str] = {}
+
+
+class _Stages(threading.local):
+    """The open and the last stage of each application, per driver thread, so that threads do not mix their tables."""
+
+    def __init__(self) -> None:
+        self.open: dict[str, str] = {}
+        self.last: dict[str, str] = {}
+
+
+_stages = _Stages()
 
 
 def _root(spark: SparkSession) -> str:
@@ -29,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     if root not in _seen:
         _seen.add(root)
         atexit.register(_clear_at_exit, spark)
-    return f"{_open_stage.get(root, root)}/{uuid.uuid4().hex}"
+    return f"{_stages.open.get(root, root)}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, **options: str) -> DataFrame:
@@ -43,27 +53,33 @@ def materialize(df: DataFrame, **options: str) -> DataFrame:
 
 
 @contextmanager
-def stage(spark: SparkSession) -> Iterator[None]:
-    """Collect the intermediate tables written inside, and remove those of the stage before.
+def stage(spark: SparkSession, keep: bool = True) -> Iterator[None]:
+    """Collect the intermediate tables that this thread writes inside.
 
-    The result of the stage before must have been written by then. Tables written outside any stage stay.
+    They go when the thread's next stage begins, its result being written by then, or at the end without ``keep``.
+    Tables written outside any stage stay.
     """
     root = _root(spark)
-    if root in _last_stage:
-        _remove(spark, _last_stage.pop(root))
-    _open_stage[root] = _last_stage[root] = f"{root}/stage-{uuid.uuid4().hex}"
+    if root in _stages.last:
+        remove(spark, _stages.last.pop(root))
+    mine = _stages.open[root] = f"{root}/stage-{uuid.uuid4().hex}"
     try:
         yield
     finally:
-        del _open_stage[root]
+        del _stages.open[root]
+        if keep:
+            _stages.last[root] = mine
+        else:
+            remove(spark, mine)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove every intermediate table of this application; frames that read them end here."""
-    _remove(spark, _root(spark))
+    remove(spark, _root(spark))
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there, on whatever file system it is."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from arealis.sources.readers import LATIN_1
+from arealis.sources.readers import LATIN_1, SCHEMA_FOLDER, exists, stored_schema
 
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -48,14 +49,46 @@ def save_partitioned(
 
     The rebalance hint brings a partition's rows together so that it gets few files, and lets
     adaptive execution split a partition that is larger than the advisory size over many tasks.
-    With ``only_touched``, folders that the frame has no rows for are left as they are.
+    With ``only_touched``, folders that the frame has no rows for are left as they are. Beside a Parquet table its schema
+    is kept, with the columns of the folders left, so that readers open no footer for it.
     """
+    spark = df.sparkSession
+    before = stored_schema(spark, path) if only_touched and fmt == "parquet" else None
+    fresh = not only_touched or not exists(spark, path)
+    schema = _merged(before, df.schema)
     writer = df.hint("rebalance", by).write.mode(mode).partitionBy(by)
     if only_touched:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True).option("encoding", LATIN_1)
     writer.format(fmt).save(path)
+    # A table of another hand that is only touched has columns that are not known here: its footers are the schema.
+    if fmt == "parquet" and mode == "overwrite" and (fresh or before is not None):
+        text = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+        text.write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+
+
+def _merged(before: StructType | None, now: StructType) -> StructType:
+    """The columns of both; a column that changes its type is an error."""
+    if before is None:
+        return now
+    known = {field.name: field for field in before}
+    if changed := [f.name for f in now if f.name in known and known[f.name].dataType != f.dataType]:
+        raise ValueError(f"columns with another type than in the table: {changed}")
+    return StructType([*before, *(field for field in now if field.name not in known)])
+
+
+def save_distinct(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[int, int]:
+    """Write one copy of each row; returns the numbers of rows before and after.
+
+    Both are observed on the write itself: the deduplication carries the number of copies along, and they are summed
+    where the rows go to the files, so a task that is run again after a lost executor counts once.
+    """
+    copies = df.groupBy(*[F.col(f"`{name}`") for name in df.columns]).agg(F.count("*").alias("__copies"))
+    seen = Observation()
+    counts = F.coalesce(F.sum("__copies"), F.lit(0)).alias("before"), F.count("*").alias("after")
+    save(copies.observe(seen, *counts).drop("__copies"), path, fmt)
+    return int(seen.get["before"]), int(seen.get["after"])
 
 
 def split_by_quarter(df: DataFrame, path: str, day: str, fmt: str = "csv") -> None:

@@ -135,3 +135,56 @@ def quarter_files(t):
 @query("constant_stamp", "SELECT r_regionkey, r_name, 'censo' AS origem, '2022' AS ano FROM region")
 def constant_stamp(t):
     return schema.with_constants(t.table("region").select("r_regionkey", "r_name"), origem="censo", ano="2022")
+
+
+@query(
+    "quarter_files_all",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN year(o_orderdate) % 2 = 1 THEN CAST(o_custkey AS VARCHAR) END AS cliente,
+      CAST(year(o_orderdate) AS VARCHAR) AS ano, CAST(quarter(o_orderdate) AS VARCHAR) AS trimestre FROM orders
+      WHERE NOT (year(o_orderdate) = 1998 AND quarter(o_orderdate) = 3)""",
+)
+def quarter_files_all(t):
+    """Quarter folders of all years, one missing, with two different headers: two scans, however many files."""
+    folder = scratch.shared_folder(t.spark)
+    orders = t.table("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id", "CAST(o_custkey AS STRING) AS cliente",
+        "concat_ws('_', year(o_orderdate), quarter(o_orderdate)) AS arquivo", "year(o_orderdate) % 2 = 1 AS odd",
+    ).where("arquivo != '1998_3'")
+    writers.save_partitioned(orders.where("odd").select("cliente", "id", "arquivo"), f"{folder}/a", "arquivo", "csv")
+    writers.save_partitioned(orders.where("not odd").select("id", "arquivo"), f"{folder}/b", "arquivo", "csv")
+    found = readers.read_quarter_files(t.spark, folder + "/*/arquivo={year}_{quarter}", range(1995, 2002))
+    return found.selectExpr("id", "cliente", "ano_particao AS ano", "CAST(trimestre_particao AS STRING) AS trimestre")
+
+
+@query("constant_stamp_customers", "SELECT c_custkey, c_name, 'censo' AS origem, '2022' AS ano FROM customer")
+def constant_stamp_customers(t):
+    return schema.with_constants(t.table("customer").select("c_custkey", "c_name"), origem="censo", ano="2022")
+
+
+@query(
+    "periods_stored_schema",
+    with_adapters("occ")
+    + f"SELECT id, data_ocorrencia, {PERIODS}, CASE WHEN ano > 1997 THEN 'nova' END AS origem, ano FROM occ",
+)
+def periods_stored_schema(t):
+    """Later periods have one column more; the schema kept beside the table covers both, and no footer is opened for it."""
+    folder = scratch.shared_folder(t.spark)
+    table = stamped(t)
+    writers.save_partitioned(table.where("year(data_ocorrencia) <= 1997"), folder, "ano_trimestre")
+    later = table.where("year(data_ocorrencia) > 1997").withColumn("origem", F.lit("nova"))
+    writers.save_partitioned(later, folder, "ano_trimestre", only_touched=True)
+    return readers.read_periods(t.spark, folder)
+
+
+@query(
+    "dedup_on_write",
+    """SELECT count(*) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_returnflag FROM lineitem)) AS rows_after,
+      (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_returnflag FROM lineitem)) AS rows_read FROM lineitem""",
+)
+def dedup_on_write(t):
+    """Rows before and after deduplication, from the write itself, beside what can be read back."""
+    folder = scratch.shared_folder(t.spark)
+    before, after = writers.save_distinct(t.table("lineitem").select("l_orderkey", "l_returnflag"), folder)
+    back = t.spark.read.schema("l_orderkey long, l_returnflag string").parquet(folder)
+    known = F.lit(before).cast("long").alias("rows_before"), F.lit(after).cast("long").alias("rows_after")
+    return back.agg(F.count("*").alias("rows_read")).select(*known, "rows_read")

@@ -6,7 +6,10 @@ and integrates Student's density numerically, so it shares no method with the Sp
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from arealis.operators import regression
+from arealis.operators.combine import union_by_name
 from arealis.operators.rates import population_floor
 from arealis.plans import study
 from arealis.presets import analysis
@@ -206,7 +209,7 @@ def _omnibus_sql() -> str:
 OMNIBUS = _omnibus_sql()
 
 
-def _diagnostics_sql() -> str:
+def _diagnostics_select() -> str:
     lines = []
     for name, predictors in analysis.MODELS.items():
         tag, k = TAGS[name], len(predictors)
@@ -233,7 +236,7 @@ def _diagnostics_sql() -> str:
                 avg(e * e * e * e) / pow(avg(e * e), 2) AS ku
                 FROM (SELECT z0 - m0 - ({fitted}) AS e FROM {tag}_z, {tag}_fit) r) shape"""
         )
-    return f"{START}, {ALL_FITS} " + " UNION ALL ".join(lines)
+    return " UNION ALL ".join(lines)
 
 
 DIAGNOSTICS = (
@@ -242,7 +245,7 @@ DIAGNOSTICS = (
 )
 
 
-@query("ols_diagnostics", _diagnostics_sql())
+@query("ols_diagnostics", f"{START}, {ALL_FITS} {_diagnostics_select()}")
 def ols_diagnostics(t):
     base = study.model_table_of(full_rate_base(t))
     found = regression.fit_models(base, analysis.LOG_RATE, analysis.MODELS)
@@ -255,6 +258,118 @@ def regression_study(t):
     return study.regression_study(full_rate_base(t)).final
 
 
+def _critical_sql(df: str) -> str:
+    """The 97.5 % point of Student's t from the normal one, by Fisher's expansion to the fourth power of 1 / df."""
+    z = 1.959963984540054
+    terms = (
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    )
+    return f"({z} + " + " + ".join(f"{term!r} / pow({df}, {k})" for k, term in enumerate(terms, 1)) + ")"
+
+
+INTERVAL = ("ci_low", "ci_high")
+
+
+@query(
+    "ols_intervals",
+    MODELS_SQL
+    + f"SELECT model, term, round(coef - {_critical_sql('df')} * std_err, 5) AS ci_low, "
+    + f"round(coef + {_critical_sql('df')} * std_err, 5) AS ci_high FROM tested",
+)
+def ols_intervals(t):
+    table = regression.coefficient_table(t.spark, fits(t))
+    return rounded(table.select("model", "term", *INTERVAL), INTERVAL, 5)
+
+
+def _largest_sql(matrix: str, size: int) -> str:
+    """Largest eigenvalue of a positive matrix, a list of lists: its Rayleigh quotient at a high power of it."""
+    each = f"range(1, {size + 1})"
+
+    def times(a: str, b: str) -> str:
+        cell = f"list_sum(list_transform({each}, lambda l: {a}[i][l] * {b}[l][j]))"
+        return f"list_transform({each}, lambda i: list_transform({each}, lambda j: {cell}))"
+
+    def trace(m: str) -> str:
+        return "(" + " + ".join(f"{m}[{i}][{i}]" for i in range(1, size + 1)) + ")"
+
+    scaled = f"list_transform(p, lambda row: list_transform(row, lambda x: x / {trace('p')}))"
+    return f"""(WITH RECURSIVE powers AS (SELECT 0 AS step, m, m AS p FROM (SELECT {matrix} AS m) start
+        UNION ALL SELECT step + 1, m, {times("q", "q")} FROM (SELECT step, m, {scaled} AS q FROM powers WHERE step < 12) s),
+        last AS (SELECT m, p FROM powers WHERE step = 12), product AS (SELECT p, {times("m", "p")} AS mp FROM last)
+        SELECT {trace("mp")} / {trace("p")} FROM product)"""
+
+
+def _condition_sql(tag: str, predictors) -> str:
+    """Root of the ratio of the extreme eigenvalues of the design's Gram matrix; the least is that of its inverse."""
+    size = len(predictors) + 1
+    inside = range(1, size)
+
+    def total(i: int, j: int) -> str:
+        names = [f"z{k}" for k in (i, j) if k]
+        return f"(SELECT sum({' * '.join(names) if names else '1.0'}) FROM {tag}_z)"
+
+    gram = "[" + ", ".join("[" + ", ".join(total(i, j) for j in range(size)) + "]" for i in range(size)) + "]"
+    leaned = {i: "(" + " + ".join(f"-{_cell(i, j)} * m{j}" for j in inside) + ")" for i in inside}
+
+    def inverse(i: int, j: int) -> str:
+        if i and j:
+            return f"-{_cell(i, j)}"
+        return f"-{leaned[i or j]}" if i or j else f"1.0 / n + {_leverage(size)}"
+
+    rows = "[" + ", ".join("[" + ", ".join(inverse(i, j) for j in range(size)) + "]" for i in range(size)) + "]"
+    least = f"(SELECT {rows} FROM {tag}_fit)"
+    return f"sqrt({_largest_sql(gram, size)} * {_largest_sql(least, size)})"
+
+
+def _conditions_select() -> str:
+    lines = (f"SELECT '{name}' AS model, {_condition_sql(TAGS[name], p)} AS condition_number" for name, p in analysis.MODELS.items())
+    return " UNION ALL ".join(lines)
+
+
+@query("ols_condition", f"{START}, {ALL_FITS} SELECT model, round(condition_number, 4) AS condition_number FROM ({_conditions_select()}) c")
+def ols_condition(t):
+    base = study.model_table_of(full_rate_base(t))
+    found = regression.fit_models(base, analysis.LOG_RATE, analysis.MODELS)
+    return rounded(regression.diagnostics(base, found).select("model", "condition_number"), ["condition_number"], 4)
+
+
+def _study_sql() -> str:
+    """All tables of the study, one value a row."""
+    lines = [f"SELECT 'coefficients' AS part, model, term, round(coef, 6) AS value FROM tested"]
+    lines.append("SELECT 'p_values', model, term, round(p_value, 6) FROM tested")
+    lines.append("SELECT 'vif', 'Modelo 3', term, round(vif, 6) FROM terms WHERE model = 'Modelo 3'")
+    for name, tag in TAGS.items():
+        title = analysis.MODEL_TITLES[name]
+        lines.append(f"SELECT 'fit', '{title}', 'r_squared', round({R2}, 6) FROM {tag}_fit")
+        lines.append(f"SELECT 'fit', '{title}', 'adj_r_squared', round(1 - (rss / tss) * (n - 1) / df, 6) FROM {tag}_fit")
+        lines.append(f"SELECT 'fit', '{title}', 'observations', CAST(n AS DOUBLE) FROM {tag}_fit")
+    lines += [f"SELECT 'diagnostics', model, '{name}', round({name}, 6) FROM diagnosed" for name in DIAGNOSTICS]
+    return f"{MODELS_SQL}, diagnosed AS ({_diagnostics_select()}) " + " UNION ALL ".join(lines)
+
+
+@query("regression_study_tables", _study_sql())
+def regression_study_tables(t):
+    """The tables of the study beside its formatted one: coefficients, p-values, fit, inflation and diagnostics."""
+    found = study.regression_study(full_rate_base(t))
+
+    def long(part: str, table, model: str, term: str, names) -> object:
+        columns = [F.struct(F.lit(name).alias("name"), F.col(f"`{name}`").cast("double").alias("value")) for name in names]
+        rows = table.select("*", F.explode(F.array(*columns)).alias("_cell")).select("*", "_cell.name", "_cell.value")
+        return rows.selectExpr(f"'{part}' AS part", f"{model} AS model", f"{term} AS term", "round(value, 6) AS value").where("value IS NOT NULL")
+
+    parts = [
+        long("coefficients", found.coefficients, "name", "term", analysis.MODELS),
+        long("p_values", found.p_values, "name", "term", analysis.MODELS),
+        long("vif", found.vif, f"'{list(found.fits)[-1]}'", "variable", ["vif"]),
+        long("fit", found.fit, "model", "name", ["r_squared", "adj_r_squared", "observations"]),
+        long("diagnostics", found.diagnostics, "model", "name", DIAGNOSTICS),
+    ]
+    return union_by_name(parts)
+
+
 GRAM = ("l_quantity", "l_discount", "l_tax")
 
 

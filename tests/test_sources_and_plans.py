@@ -261,3 +261,117 @@ def test_no_machine_local_folder_is_used():
 
     sources = Path(writers.__file__).resolve().parents[1].rglob("*.py")
     assert not [p for p in sources if "tempfile" in p.read_text(encoding="utf-8")]
+
+
+def test_quarter_files_with_equal_headers_are_one_scan(spark, tmp_path):
+    place = tmp_path / "a b+c"
+    place.mkdir()
+    for i, year in enumerate(range(2015, 2022)):
+        for quarter in (1, 2, 3, 4):
+            write_quarter(place, year, quarter, f"a,b\n{i},{quarter}\n" if quarter < 4 else f'b,"a, é",b\n{i},{quarter},x\n')
+    write_quarter(place, 2020, 2, "")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = readers.read_quarter_files(spark, f"{tmp_path}/?*/v_{{year}}_{{quarter}}.csv", range(2010, 2022))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(jobs.getJobIdsForGroup("headers")) <= 2  # one query, whose shuffle may be a job of its own
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+    got = rows(found, "ano_particao", "trimestre_particao")
+    assert len(got) == 27 and found.columns == ["a", "b", "ano_particao", "trimestre_particao", "ano_trimestre", "b0", "a, é", "b2"]
+    assert [tuple(r) for r in found.where("trimestre_particao = 4").select("b0", "`a, é`", "b2", "ano_trimestre").orderBy("ano_trimestre").collect()][0] == ("0", "4", "x", "2015_4")
+
+
+def test_headers_of_folders_and_empty_files(spark, tmp_path):
+    (tmp_path / "folder").mkdir()
+    for i in range(3):
+        (tmp_path / "folder" / f"part-{i}.csv").write_bytes(b"x;;x\r\n1;2;3\r\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    paths = [str(tmp_path / "folder"), str(tmp_path / "empty.csv")]
+    assert readers.headers(spark, paths, sep=";") == {paths[0]: ("x0", "_c1", "x2")}
+    assert readers.headers(spark, []) == {}
+
+
+def test_stored_schema_covers_all_folders(spark, folder, periods):
+    writers.save_partitioned(periods, f"{folder}/t", "ano_trimestre")
+    more = spark.createDataFrame([(5, "x", "2026_2")], "id int, novo string, ano_trimestre string")
+    writers.save_partitioned(more, f"{folder}/t", "ano_trimestre", only_touched=True)
+    assert readers.stored_schema(spark, f"{folder}/t").names == ["id", "ano_trimestre", "novo"]
+    got = rows(readers.read_periods(spark, f"{folder}/t").select("id", "novo", "ano"), "id")
+    assert got[0] == (1, None, 2019) and got[-1] == (5, "x", 2026)
+    other = spark.createDataFrame([("5", "2026_2")], "id string, ano_trimestre string")
+    with pytest.raises(ValueError, match="another type"):
+        writers.save_partitioned(other, f"{folder}/t", "ano_trimestre", only_touched=True)
+    writers.save_partitioned(periods, f"{folder}/t", "ano_trimestre")
+    assert readers.stored_schema(spark, f"{folder}/t").names == ["id", "ano_trimestre"]
+
+
+def test_tables_of_others_have_their_footers_merged(spark, folder, periods):
+    periods.write.partitionBy("ano_trimestre").parquet(f"{folder}/t")
+    more = spark.createDataFrame([(5, "x", "2026_2")], "id int, novo string, ano_trimestre string")
+    writers.save_partitioned(more, f"{folder}/t", "ano_trimestre", only_touched=True)
+    assert readers.stored_schema(spark, f"{folder}/t") is None
+    assert rows(readers.read_periods(spark, f"{folder}/t").select("id", "novo"), "id")[-1] == (5, "x")
+
+
+def test_distinct_rows_are_counted_on_the_write(spark, folder):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (2, "a"), (2, "b")], "a int, `b.c` string")
+    assert writers.save_distinct(df, f"{folder}/d") == (5, 3)
+    assert spark.read.parquet(f"{folder}/d").count() == 3
+    assert writers.save_distinct(df.limit(0), f"{folder}/e", "csv") == (0, 0)
+
+
+def test_only_changed_quarters_are_rewritten(spark, tmp_path):
+    pattern, target = f"{tmp_path}/v_{{year}}_{{quarter}}.csv", f"{tmp_path}/curated"
+    for quarter in (1, 2, 3):
+        write_quarter(tmp_path, 2020, quarter, f"a\n{quarter}\n")
+    assert batch.curate_changed(spark, pattern, [2020, 2021], target) == (["2020_1", "2020_2", "2020_3"], [])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "curated").glob("ano*/*.parquet")}
+    assert batch.curate_changed(spark, pattern, [2020, 2021], target) == ([], [])
+    write_quarter(tmp_path, 2020, 2, "a,b\n20,x\n21,y\n")
+    write_quarter(tmp_path, 2021, 4, "a\n4\n")
+    (tmp_path / "v_2020_3.csv").unlink()
+    assert batch.curate_changed(spark, pattern, [2020, 2021], target) == (["2020_2", "2021_4"], ["2020_3"])
+    got = rows(readers.read_periods(spark, target).select("a", "b", "ano_trimestre"), "ano_trimestre", "a")
+    assert got == [("1", None, "2020_1"), ("20", "x", "2020_2"), ("21", "y", "2020_2"), ("4", None, "2021_4")]
+    (kept,) = (p for p in before if "2020_1" in str(p))
+    assert kept.stat().st_mtime_ns == before[kept]
+
+
+def test_dates_are_counted_on_the_write_and_failures_are_rows(spark, tmp_path):
+    header = "DATA_OCORRENCIA_BO,RUBRICA\n"
+    (tmp_path / "raw_2020.csv").write_bytes((header + "2020-02-03,Furto\n2020-02-03,FURTO \n,Outro\nnan,Roubo\n").encode("latin-1"))
+    (tmp_path / "raw_2021.csv").write_bytes((header + "2021-05-01,Furto\n").encode("latin-1"))
+    (tmp_path / "raw_2023.csv").write_text("RUBRICA\nFurto\n")
+    raw, clean = f"{tmp_path}/raw_{{year}}.csv", f"{tmp_path}/clean_{{year}}"
+    outcomes = batch.clean_and_count(spark, [2020, 2021, 2022, 2023], raw, clean)
+    table = batch.outcome_table(spark, outcomes, "total long, total_null long, total_empty long")
+    got = rows(table, "item")
+    assert got[:3] == [("2020", None, 3, 2, 0), ("2021", None, 1, 0, 0), ("2022", "PATH_NOT_FOUND", None, None, None)]
+    assert got[3][0] == "2023" and got[3][1].startswith("UNRESOLVED_COLUMN")
+    assert "while processing 2022" in outcomes[2].error.__notes__[0]
+    tables = {year: spark.read.parquet(clean.format(year=year)) for year in (2020, 2021)}
+    assert rows(batch.missing_dates(tables), "ano") == [("2020", 3, 2, 0), ("2021", 1, 0, 0)]
+
+
+def test_items_run_side_by_side_with_tables_of_their_own(spark):
+    from threading import Barrier
+
+    together, kept = Barrier(3, timeout=60), {}
+
+    def work(item):
+        together.wait()  # all three are open at once
+        mine = scratch.materialize(spark.range(item))
+        kept[item] = scratch.shared_folder(spark).rsplit("/", 1)[0]
+        together.wait()
+        if item == 2:
+            raise ValueError("broken")
+        return mine.count()
+
+    outside = scratch.materialize(spark.range(7))
+    outcomes = batch.run_all(spark, [1, 2, 3], work)
+    assert [(o.item, o.result, type(o.error)) for o in outcomes] == [(1, 1, type(None)), (2, None, ValueError), (3, 3, type(None))]
+    assert len(set(kept.values())) == 3 and not any(readers.exists(spark, place) for place in kept.values())
+    assert outside.count() == 7
+    with pytest.raises(ExceptionGroup):
+        batch.run_each(spark, [0], lambda _: 1 / 0)
