@@ -78,7 +78,9 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The documents that stay, one row per distinct text, with all their columns.
 
     The text comes from the combined winners, so it is not shuffled again for the join: the other columns, which
-    are narrow, join on key and digest. Of rows that repeat key and text, one stays.
+    are narrow, join on key and digest. Of rows that repeat key and text, the first stays. Null and empty texts are
+    copies of each other; a null key stays only if no copy has a key. Other columns may have any name and type; texts
+    of any length are compared whole; an empty table stays empty.
     """
     others = [name for name in docs.columns if name not in (key, text)]
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -87,8 +89,10 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         sha256_hex(whole).alias("_digest"),
         F.col(text).isNull().alias("_null"),
         F.struct(*(others or [F.lit(0)])).alias("_rest"),
+        F.monotonically_increasing_id().alias("_place"),
     )
-    narrow = narrow.groupBy("_id", "_digest").agg(F.min("_null").alias("_null"), F.min("_rest").alias("_rest"))
+    first = F.min_by(F.struct("_null", "_rest"), "_place").alias("_first")  # maps have no order of their own
+    narrow = narrow.groupBy("_id", "_digest").agg(first).select("_id", "_digest", "_first.*")
     winners = combine(docs, key, text).select(
         F.col("keep_id").alias("_keep"), F.col("digest").alias("_found"), F.col("text").alias("_text")
     )

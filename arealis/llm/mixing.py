@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealis.llm.common import word_count
+from arealis.llm.common import skew_join, word_count
 from arealis.sources.scratch import materialize
 
 # Weights of the sources in code point order, repeated from the start: fixed values.
@@ -71,7 +71,8 @@ def mix_plan(
     ``source_size``, ``target`` of its source. ``taken`` has one row for every copy taken: ``row, key,
     repeat, finish``. Null sources are one source, the last in order; null texts have size 0. Documents are taken
     whole, so a source misses its target by less than two documents. Rows that repeat everything are documents of
-    their own. The order depends on the seed, key and size only, so reruns agree. An empty table gives two empty
+    their own. The order depends on the seed, key and size only, and on the place in the table for rows that share
+    both, so reruns agree. An empty table gives two empty
     tables. Sources are few (the weights name them); their totals are the only thing that the driver sees.
     Other columns are ignored.
     """
@@ -96,14 +97,17 @@ def _plan(rows: DataFrame, weights: Sequence[float], budget: float, repeats: int
     n = sum(r.n for r in found)
     slices = max(1, math.isqrt(repeats * n))
     copies = (
-        rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .withColumn("_hash", F.xxhash64(F.lit(seed), "repeat", "key", "size"))
+        _spread_repeats(rows, n)
+        .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+        .withColumn("_hash", F.xxhash64(F.lit(seed), "repeat", "key", "size", "_again"))
         .withColumn("_slice", F.pmod("_hash", F.lit(slices)))
     )
     order = ["_hash", "key", "row"]
     queued = _running(copies, ["src", "repeat"], "_slice", order, "size", "_words")
     finish = (F.col("repeat") * F.col("source_size") + F.col("_words")) / F.col("target")
-    queued = queued.withColumn("finish", F.when(F.col("target") > 0, finish).otherwise(F.lit(0.0)))
+    # A source without words takes no part in the contest; its rows lie anywhere in the first unit of time.
+    anywhere = F.pmod("_hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    queued = queued.withColumn("finish", F.when(F.col("target") > 0, finish).otherwise(anywhere))
     # Queues run evenly, so equal slices of virtual time hold equal numbers of words.
     timed = queued.withColumn("_slice", F.floor(F.col("finish") * slices)).withColumn("_all", F.lit(0))
     spent = _running(timed, ["_all"], "_slice", ["finish", "src", "repeat", *order], "size", "_spent")
@@ -112,6 +116,23 @@ def _plan(rows: DataFrame, weights: Sequence[float], budget: float, repeats: int
     return rows.select("row", "key", "size", "source_size", "target"), taken
 
 
+def _spread_repeats(rows: DataFrame, total: int) -> DataFrame:
+    """Add ``_again``: null, or the row's number where others have the same key and size.
+
+    Keys that are missing, or rows that repeat, would else be one hash and one slice, whatever their share. (A null does
+    not change a hash.)
+    """
+    alike = rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    alike = materialize(alike.select(F.col("key").isNull().alias("_none"), F.hash("key").alias("_code"), "size", "_n"))
+    if alike.isEmpty():
+        return rows.withColumn("_again", F.lit(None).cast("long"))
+    # By code, as null keys match nothing; keys that share a code are spread as well.
+    alike = alike.groupBy("_none", "_code", "size").agg(F.sum("_n").alias("_n"))
+    coded = rows.withColumns({"_none": F.col("key").isNull(), "_code": F.hash("key")})
+    found = skew_join(coded, alike, ["_none", "_code", "size"], "_n", total, F.col("row"))
+    return found.withColumn("_again", F.when(F.col("_n").isNotNull(), F.col("row"))).drop("_none", "_code", "_n")
+
+
 def mix_report(docs: DataFrame, **settings) -> DataFrame:
     """Per row of ``docs``: key, ``size``, ``source_size``, ``target`` and ``taken`` (words, repeats counted)."""
     rows, taken = mix_plan(docs, **settings)
@@ -135,7 +156,11 @@ def mix(
     repeats: int = REPEATS,
     seed: int = 7,
 ) -> DataFrame:
-    """The mix itself: the rows of ``docs`` as often as they are taken, range-sorted by finish time."""
+    """The mix itself: the rows of ``docs`` as often as they are taken, range-sorted by finish time.
+
+    Nulls, empty and long texts, repeated rows and empty tables are as in ``mix_plan``; all columns of any name and type
+    come along.
+    """
     numbered = materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
     parts = [F.col("doc")[name] for name in (key, text, source)]
     _, taken = _plan(materialize(numbered.select("row", *_narrow(*parts))), weights, budget, repeats, seed)

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -89,3 +91,68 @@ def test_thresholds_are_chosen_on_all_labelled_rows(spark, monkeypatch):
     y, weight = seen[0]
     assert weight.sum() == pytest.approx(marks.count())
     assert (weight * y).sum() == pytest.approx(marks.filter("toxic = 1").count())
+
+
+def test_quality_model_equals_dense_least_squares(spark):
+    """Statistics, ridge and isotonic fit again on the driver, from all labelled rows at once."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(quality.text_statistics(docs), labels)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r for r in docs.orderBy("doc_id").collect() if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 5]
+    x = np.stack([quality.statistics(r.text) for r in rows])
+    y = np.array([float(marks[r.doc_id]) for r in rows])
+    apart = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 == 4 for r in rows])
+    assert model.mean == pytest.approx(x.mean(0)) and model.scale == pytest.approx(np.where(x.std(0) > 1e-6, x.std(0), 1))
+    z = model.features(x)
+    a, b = z[~apart], y[~apart]
+    lam = quality.RIDGE * len(a) / z.shape[1]
+    coef = np.linalg.lstsq(np.vstack([a, np.sqrt(lam) * np.eye(z.shape[1])]), np.concatenate([b, np.zeros(z.shape[1])]), rcond=None)[0]
+    assert z @ model.coef == pytest.approx(z @ coef, abs=1e-6)
+    raw = np.round(np.clip(z[apart] @ model.coef, -1, 2), 3)
+    fitted = plain_isotonic(raw, y[apart])
+    assert np.interp(raw, model.steps_x, model.steps_y) == pytest.approx(fitted, abs=1e-6)
+    scored = {r.doc_id: r.score for r in quality.score_documents(docs, labels).collect()}
+    assert [scored[r.doc_id] for r in rows] == pytest.approx(np.interp(z @ model.coef, model.steps_x, model.steps_y), abs=1e-6)
+
+
+def plain_isotonic(x, y):
+    """The minimax form: greatest over starts of the least over ends of the mean in between."""
+    out = np.zeros(len(x))
+    levels = np.unique(x)
+    for i, v in enumerate(x):
+        out[i] = max(min(y[(x >= a) & (x <= b)].mean() for b in levels[levels >= v]) for a in levels[levels <= v])
+    return out
+
+
+def test_toxicity_scores_equal_a_plain_convolution(spark):
+    """Word by word, filter by filter, without caches, batches or pooling over joined texts."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(60).collect()] + [None, "", "one", "two words", "the le der"]
+    got = model.score(texts)
+    for text, score in zip(texts, got, strict=True):
+        words = [w.strip(toxicity.EDGE) for w in (text or "").lower().split()]
+        vectors = [model.embed[list(toxicity._buckets(w))].sum(0) for w in words] + [np.zeros(toxicity.DIM)] * max(toxicity.WIDTHS)
+        pooled, first = [], 0
+        for width in toxicity.WIDTHS:
+            places = range(len(vectors) - width + 1)
+            each = [sum(vectors[p + j] @ model.filters[first + j] for j in range(width)) for p in places]
+            pooled += list(np.max(each, axis=0))
+            first += width
+        z = np.maximum(np.array(pooled) + model.bias, 0) @ model.out + model.out_bias
+        spoken = [sum(w in toxicity.FUNCTION_WORDS[lang].split() for w in words) for lang in toxicity.LANGUAGES]
+        language = int(np.argmax(spoken)) if max(spoken) else len(toxicity.LANGUAGES)
+        shifted = np.clip(z - model.cut[language] + np.log(0.7 / 0.3), -30, 30)
+        assert score == pytest.approx(1 / (1 + np.exp(-shifted)), abs=1e-4)
+
+
+def test_pooling_does_not_reach_into_the_next_text():
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=(50, toxicity.OFFSETS * toxicity.FILTERS))
+    starts = np.array([0, 4, 7, 30])
+    alone = [toxicity._pool(part, np.array([0]))[0] for part in np.split(table, starts[1:])]
+    assert toxicity._pool(table, starts) == pytest.approx(np.array(alone))

@@ -65,6 +65,43 @@ def test_shards_of_nothing_and_of_one_row_repeated(spark, nothing):
     assert got.groupBy("_shard").agg(F.max("_slot").alias("s")).filter("s not in (61, 62)").isEmpty()
 
 
+@pytest.fixture(scope="module")
+def with_maps(spark):
+    rows = [(i % 40 if i % 7 else None, f"text {i % 30}", {"a": i}) for i in range(200)] + [(1, "text 1", None)] * 3
+    return spark.createDataFrame(rows, "doc_id long, text string, marks map<string, int>")
+
+
+def test_columns_of_any_type_come_along(with_maps):
+    kept = exact_dedup.drop_copies(with_maps)
+    assert kept.columns == with_maps.columns and kept.count() == 30
+    every = sorted(str(tuple(r)) for r in with_maps.collect())
+    assert set(map(str, map(tuple, kept.collect()))) <= set(every)
+    shards = sharding.shuffle_into_shards(with_maps, shards=3, bucket_bytes=500)
+    assert sorted(str(tuple(r)[:-2]) for r in shards.collect()) == every
+
+
+def placed(df):
+    return sorted((str(tuple(r)), r._shard, r._slot) for r in df.collect())
+
+
+def test_a_rerun_gives_the_same_shards(spark, with_maps):
+    """Also with other partitions before the shuffle, and however many buckets share a task."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    for few in (3, 4096):
+        first = placed(sharding.shuffle_into_shards(docs, bucket_bytes=2000, max_partitions=few))
+        assert first == placed(sharding.shuffle_into_shards(docs.repartition(7), bucket_bytes=2000, max_partitions=few))
+    assert placed(sharding.shuffle_into_shards(with_maps, bucket_bytes=500)) == placed(sharding.shuffle_into_shards(with_maps, bucket_bytes=500))
+
+
+def test_repeated_rows_fill_no_bucket(spark):
+    """Half of the keys are null with one text; buckets stay near their mean, and so do the tasks."""
+    docs = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.lit("same text").alias("text"))
+    records = sharding._numbered_repeats(docs, "doc_id", "text")
+    buckets = records.groupBy(F.pmod(F.xxhash64(F.lit(20), "_row.doc_id", "_row.text", "_copy"), F.lit(50))).count()
+    assert buckets.agg(F.max("count")).first()[0] < 1.5 * 8000 / 50
+    assert sharding.shuffle_into_shards(docs, bucket_bytes=10_000, max_partitions=5).count() == 8000
+
+
 def test_shuffle_moves_rows(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     order = [r.doc_id for r in sharding.shuffle_into_shards(docs, shards=1).orderBy("_slot").collect()]

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from arealis.llm import mixing, packing
@@ -64,6 +65,71 @@ def test_mix_of_awkward_rows(awkward, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def fair_queue(rows, hashes, weights=mixing.WEIGHTS, budget=mixing.BUDGET, repeats=mixing.REPEATS):
+    """Words taken per row, document by document: ``rows`` are (row, key, source, size), ``hashes`` by (row, repeat)."""
+    totals = Counter()
+    for _, _, source, size in rows:
+        totals[source] += size
+    names = sorted(totals, key=lambda s: (s is None, s or ""))
+    target = dict(zip(names, mixing.source_targets([totals[s] for s in names], weights, budget, repeats), strict=True))
+    slices = max(1, int((repeats * len(rows)) ** 0.5))
+    queue = []
+    for name in names:
+        for repeat in range(repeats):
+            mine = [(hashes[row, repeat] % slices, hashes[row, repeat], key, row, size) for row, key, source, size in rows if source == name]
+            mine.sort(key=lambda m: (m[0], m[1], m[2] is not None, m[2] or 0, m[3]))
+            words = repeat * totals[name]
+            for _, code, key, row, size in mine:
+                words += size
+                finish = words / target[name] if target[name] > 0 else code % 2**30 / 2**30
+                src = "" if name is None else f"={name}"
+                queue.append(((int(finish * slices // 1), finish, src, repeat, code, key is not None, key or 0, row), row, size))
+    taken, spent = Counter(), 0
+    for _, row, size in sorted(queue):
+        spent += size
+        if spent > budget * sum(totals.values()):
+            break
+        taken[row] += size
+    return taken
+
+
+@pytest.mark.parametrize("case", ["unique", "repeated", "empty source"])
+def test_taken_equals_a_sequential_fair_queue(spark, case):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        key = None if case == "repeated" and i % 3 == 0 else i // 2 if case == "repeated" and i % 3 == 1 else i
+        source = ["a", "b", "c", "ä", None][min(4, int(rng.exponential(1)))]
+        size = 0 if case == "empty source" and source == "b" else 5 if case == "repeated" else int(rng.integers(0, 40))
+        rows.append((key, "w " * size, source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    numbered = mixing.materialize(docs.select(F.monotonically_increasing_id().alias("row"), *mixing._narrow(F.col("doc_id"), F.col("text"), F.col("source"))))
+    every = mixing._spread_repeats(numbered, len(rows)).withColumn("repeat", F.explode(F.array(F.lit(0), F.lit(1))))
+    codes = every.select("row", "repeat", F.xxhash64(F.lit(7), "repeat", "key", "size", "_again").alias("h")).collect()
+    plain = [(r.row, r.key, r.src[1:] if r.src else None, r.size_) for r in numbered.withColumnRenamed("size", "size_").collect()]
+    want = fair_queue(plain, {(r.row, r.repeat): r.h for r in codes})
+    _, taken = mixing._plan(numbered, mixing.WEIGHTS, mixing.BUDGET, mixing.REPEATS, 7)
+    sizes = {row: size for row, _, _, size in plain}
+    got = Counter()
+    for r in taken.collect():
+        got[r.row] += sizes[r.row]
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_keys_and_empty_sources_spread_over_slices(spark):
+    """A third of the rows without a key, a third with one key, all of one size, or without words: no large slice."""
+    n = 6000
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(5)).otherwise(F.col("id")).cast("long")
+    rows = spark.range(n).select(F.col("id").alias("row"), key.alias("key"), F.lit(4).cast("long").alias("size"))
+    slices = int((2 * n) ** 0.5)
+    spread = mixing._spread_repeats(rows, n).select(F.pmod(F.xxhash64(F.lit(7), F.lit(0), "key", "size", "_again"), F.lit(slices)).alias("s"))
+    assert spread.groupBy("s").count().agg(F.max("count")).first()[0] < 5 * n / slices
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(" ").alias("text"), F.lit("blank").alias("source"))
+    _, taken = mixing.mix_plan(docs)
+    finish = [r.finish for r in taken.collect()]
+    assert len(finish) == 2 * n and max(Counter(int(f * slices) for f in finish).values()) < 5 * len(finish) / slices
+
+
 TEXTS = st.text(alphabet=st.sampled_from(list("ab Zé'.,1 \n\t  \x1c\x85日<|endoftext|>")), max_size=60)
 
 
