@@ -59,8 +59,13 @@ def events_per_year(crimes: DataFrame) -> DataFrame:
 
 
 def view_correlations(spark: SparkSession, view: str, where: str | None = None) -> DataFrame:
-    """Correlations of the urban variables with the rate in a view, under an SQL predicate.
+    """``filtered_correlations`` of a registered view."""
+    return filtered_correlations(spark.table(view), where)
 
-    The predicate is one expression over the view's columns; it cannot reach other tables' names.
+
+def filtered_correlations(table: DataFrame, where: str | None = None) -> DataFrame:
+    """Correlations of the urban variables with the rate, under an SQL predicate.
+
+    The predicate is one expression over the table's columns; it cannot reach other tables' names.
     """
-    return correlate(spark.table(view), TARGET_RATE, URBAN_VARIABLES, where, ascending=True)
+    return correlate(table, TARGET_RATE, URBAN_VARIABLES, where, ascending=True)

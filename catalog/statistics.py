@@ -161,8 +161,7 @@ FILTER = "ds_situacao = 'Urbana' AND cd_tipo <> '0' AND tx_crimes_1000_hab < 150
 
 @query("corr_filtered", with_adapters(*FULL, then=FULL_BASE) + _corr_sql(analysis.URBAN_VARIABLES, FILTER))
 def corr_filtered(t):
-    views.register_views(analise=full_rate_base(t))
-    return rounded(views.view_correlations(t.spark, "analise", FILTER), ["correlation"])
+    return rounded(views.filtered_correlations(full_rate_base(t), FILTER), ["correlation"])
 
 
 THEFT_BASE = (
