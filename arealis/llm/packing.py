@@ -243,7 +243,10 @@ def pack(
 
 
 def sequences(packed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per sequence: ``sequence_id, length``, the keys in it in order, and the ids of its pieces in order."""
+    """One row per sequence: ``sequence_id, length``, the keys in it in order, and the ids of its pieces in order.
+
+    A sequence has a bounded number of tokens, and so of pieces; null keys are listed as null, an empty table gives no rows.
+    """
     parts = F.array_sort(F.collect_list(F.struct("offset", F.col(key).alias("key"), "ids")))
     return packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), parts.alias("_parts")).select(
         "sequence_id", "length", F.col("_parts.key").alias("keys"), F.col("_parts.ids").alias("ids")

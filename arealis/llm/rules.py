@@ -37,7 +37,10 @@ def _removed(text: Column, chars: str) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the measurements to ``docs``; a null text measures as an empty one."""
+    """Add the measurements to ``docs``; a null text measures as an empty one.
+
+    Words and windows of words are compared by 64-bit hashes, windows by a hash of their words' hashes; lines by content.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     df = docs.withColumns({"_words": words(whole), "_lines": lines})
@@ -47,7 +50,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("_codes"), i, WINDOW)))
     df = df.withColumn("_windows", F.when(n > WINDOW, hashes).otherwise(F.array().cast("array<bigint>")))
     repeats = F.size("_windows") > F.size(F.array_distinct("_windows"))
-    # Windows that occur again stand next to each other once sorted by content. What follows is null elsewhere.
+    # Windows that occur again stand next to each other once sorted by code. What follows is null elsewhere.
     placed = F.transform("_windows", lambda code, i: F.struct(code.alias("code"), i.alias("at")))
     df = df.withColumn("_sorted", F.when(repeats, F.sort_array(placed)))
     following = F.slice("_sorted", F.lit(2), F.size("_sorted"))
@@ -101,7 +104,8 @@ def apply_policy(book: DataFrame, version: str) -> DataFrame:
 def ablations(book: DataFrame, version: str) -> DataFrame:
     """Per rule of a policy: documents that fail it, and documents that only it rejects.
 
-    One aggregation over the failure masks; at most one row per mask is left after it.
+    One aggregation over the failure masks; at most one row per mask is left after it. Rows of the ledger count as they
+    are, repeated ones and those without a key too; an empty ledger gives no rows.
     """
     mask = F.col("failures").bitwiseAND(F.lit(POLICIES[version]))
     masks = book.groupBy(mask.alias("mask")).agg(F.count(F.lit(1)).alias("n"))
@@ -115,6 +119,6 @@ def ablations(book: DataFrame, version: str) -> DataFrame:
 
 
 def report(docs: DataFrame, version: str = "v2", key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The ledger with the verdicts of the base policy and of ``version``."""
+    """The ledger with the verdicts of the base policy and of ``version``; odd rows and tables are as in ``ledger``."""
     book = apply_policy(ledger(docs, key, text), version)
     return book.withColumn("base_failed", F.col("failures").bitwiseAND(F.lit(POLICIES["base"])) != 0)
