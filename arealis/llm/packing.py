@@ -15,7 +15,7 @@ import json
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -35,7 +35,8 @@ DOCS_AT_ONCE = 256
 
 # A space before a word character always begins a token of a byte-level BPE with the usual splitting pattern.
 CUT = re.compile(r" (?=\w)")
-ODD = re.compile(r"\s\s| $")
+# With other white space behind it, or at the end, a space may belong to the token before.
+ODD = re.compile(r" (?:\s|\Z)")
 
 
 def added_tokens(ranks: str) -> dict[str, int]:
@@ -46,6 +47,20 @@ def added_tokens(ranks: str) -> dict[str, int]:
     return {token["content"]: token["id"] for token in found}
 
 
+class _Ids(dict):
+    """The ids of parts of texts, as bytes, each encoded behind ``before``; those of short parts are kept."""
+
+    def __init__(self, encode: Callable[[str], list[int]], before: str) -> None:
+        super().__init__()
+        self.encode, self.before = encode, before
+
+    def __missing__(self, part: str) -> bytes:
+        ids = array("I", self.encode(self.before + part)).tobytes()
+        if len(part) <= CACHED_CHARS:
+            self[part] = ids
+        return ids
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes; the ids of frequent words are kept.
 
@@ -63,19 +78,14 @@ class Encoder:
         self.added = {token: array("I", [id_]).tobytes() for token, id_ in added_tokens(ranks).items()}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
-        self.known: dict[str, bytes] = {}
+        self.first = _Ids(self.bpe.encode_ordinary, "")
+        self.rest = _Ids(self.bpe.encode_ordinary, " ")
         self.cache_words = cache_words
 
-    def _cut(self, text: str) -> list[str]:
-        if ODD.search(text):
-            parts = CUT.split(text)
-        else:
-            parts = text.split(" ")  # each space stands alone and is followed by no white space
-        return [parts[0], *[" " + part for part in parts[1:]]]
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.cache_words:
-            self.known.clear()
+        for known in (self.first, self.rest):
+            if len(known) > self.cache_words:
+                known.clear()
         out = []
         for text in texts:
             if any(token in text for token in self.added):
@@ -86,17 +96,12 @@ class Encoder:
         return out
 
     def _plain(self, text: str) -> bytes:
-        known, of, long = self.known, self.bpe.encode_ordinary, {}
-        parts = self._cut(text)
-        for part in parts:
-            if part not in known:
-                if len(part) > CACHED_CHARS:
-                    long[part] = array("I", of(part)).tobytes()
-                else:
-                    known[part] = array("I", of(part)).tobytes()
-        if long:
-            return b"".join([long[part] if part in long else known[part] for part in parts])
-        return b"".join([known[part] for part in parts])
+        """A text is cut at spaces that begin a token; the space goes with the part behind it."""
+        if ODD.search(text):
+            first, *rest = CUT.split(text)
+        else:
+            first, *rest = text.split(" ")  # each space stands alone and is followed by no white space
+        return self.first[first] + b"".join(map(self.rest.__getitem__, rest))
 
 
 @functools.lru_cache(maxsize=2)
