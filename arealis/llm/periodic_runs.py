@@ -165,13 +165,16 @@ def collapse_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def run_report(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words_of: Callable[[object, Words], Words] = planted
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words_of: Callable[[object, Words], Words] = lambda key, words: words,
 ) -> DataFrame:
     """Digest of the runs of each row of ``docs``.
 
     ``key, n_runs``; ``start, length, period, exponent_milli`` of the longest run (ties: the first start, then the
     smallest period; null without a run); ``runs_sha256`` of all runs as lines, and ``collapsed_sha256`` of the text
-    that ``collapse_runs`` gives. ``words_of`` may change a document's words first. Nulls, long texts, repeated rows,
+    that ``collapse_runs`` gives. ``words_of`` may change a document's words first, as ``planted`` does. Nulls, long texts, repeated rows,
     other columns and empty tables are as in ``find_runs``.
     """
 

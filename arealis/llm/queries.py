@@ -90,7 +90,7 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return periodic_runs.run_report(read_table(spark, folder, "documents"))
+    return periodic_runs.run_report(read_table(spark, folder, "documents"), words_of=periodic_runs.planted)
 
 
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:

@@ -134,9 +134,9 @@ def brute_runs(w):
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 
-def brute_report(key, text):
+def brute_report(key, text, plant=True):
     w = WORD.findall((text or "").encode())
-    if key is not None and w and (h := zlib.crc32(str(key).encode())) % 10 == 0:
+    if plant and key is not None and w and (h := zlib.crc32(str(key).encode())) % 10 == 0:
         g, n = h // 10, len(w)
         a = g % n
         p = 1 + (n - a) // (3 + g % 8)
@@ -177,9 +177,10 @@ def test_run_report_equals_brute_force(spark, awkward, nothing):
     rows = [(i, " \t\n\v\f\r"[rng.randrange(6)].join(rng.choice("abc") for _ in range(rng.randrange(80)))) for i in range(200)]
     df = spark.createDataFrame([*rows, *rows[:3], (None, "a " * 30), (2**53 + 1, "b " * 9)], "doc_id long, text string")
     want = sorted((brute_report(r.doc_id, r.text) for r in df.collect()), key=repr)
-    assert rows_of(periodic_runs.run_report(df)) == want
+    assert rows_of(periodic_runs.run_report(df, words_of=periodic_runs.planted)) == want
+    assert rows_of(periodic_runs.run_report(df)) == sorted((brute_report(r.doc_id, r.text, False) for r in df.collect()), key=repr)
     strange = awkward.filter("doc_id is null or doc_id != 7")
-    assert rows_of(periodic_runs.run_report(strange)) == sorted((brute_report(r.doc_id, r.text) for r in strange.collect()), key=repr)
+    assert rows_of(periodic_runs.run_report(strange)) == sorted((brute_report(r.doc_id, r.text, False) for r in strange.collect()), key=repr)
     assert periodic_runs.run_report(awkward).count() == awkward.count()
     for result in (periodic_runs.run_report(nothing), periodic_runs.find_runs(nothing), periodic_runs.collapse_runs(nothing)):
         assert result.count() == 0
