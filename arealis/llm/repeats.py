@@ -82,7 +82,10 @@ def _hashes(data: np.ndarray, length: int, excluded: np.ndarray) -> np.ndarray:
 
 
 def cut_pieces(data: np.ndarray, length: int, excluded: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First window, number of windows and code of each piece, and whether its code's gram recurs in the text."""
+    """First window, number of windows and code of each piece, and whether its code's gram recurs in the text.
+
+    Windows of excluded grams only have the last excluded code once more.
+    """
     hashes = _hashes(data, length, excluded)
     codes = _least(hashes, length - _gram(length) + 1)
     starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
@@ -97,7 +100,10 @@ def cut_pieces(data: np.ndarray, length: int, excluded: np.ndarray) -> tuple[np.
         starts = np.repeat(starts, parts) + nth * LONGEST_PIECE
         counts = np.diff(np.append(starts, len(codes)))
         again = np.repeat(again, parts)
-    return starts, counts, codes[starts], again
+    found = codes[starts]
+    if len(excluded):
+        found[found == _U(2**64 - 1)] = excluded[-1]
+    return starts, counts, found, again
 
 
 class SuffixArray:
@@ -363,8 +369,9 @@ def _different_pieces(
     counts = kinds.groupBy("code").agg(F.count(F.lit(1)).alias("kinds"), F.max("again").alias("own"))
     counts = counts.filter("kinds > 1 or own").select("code", "kinds")
     bodies = materialize(_bodies(texts, kinds.join(counts, "code"), length), compression="zstd")
-    # A code of excluded grams only cannot be split any more; its pieces are made of crowded grams alone.
-    is_large = (F.col("kinds") > group) & (F.col("code") != -1) & F.lit(depth < DEEPEST)
+    # A code that comes again cannot be split any more: its pieces are made of crowded grams alone, a word repeated.
+    again = F.array_contains(F.slice("excluded", F.lit(1), F.size("excluded") - 1), F.col("code"))
+    is_large = (F.col("kinds") > group) & ~again & F.lit(depth < DEEPEST)
     large = bodies.filter(is_large)
     if large.isEmpty():
         return bodies, None
