@@ -1,9 +1,12 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-1. Shingles in a large share of documents are found exactly in two passes (counts of partitions bound the count
-   overall); they get a lower weight. There are few of them by arithmetic, whatever the corpus.
-2. Every text is sampled: two texts agree in one sample with a probability equal to their weighted Jaccard
-   similarity. Samples are banded; texts that agree in a band meet in a bucket.
+1. The document frequency of every shingle is counted: texts are dealt to chunks, the distinct shingles of a chunk to
+   buckets by hash, and each bucket tells each chunk the counts of the shingles that it sent. A shingle weighs its term
+   frequency times ln(1 + N / df); a second weighting has the same with a ceiling, so that what large groups of near
+   copies share does not weigh too little beside a few changed words. Texts are near if either similarity is high.
+2. Every text is sampled by both weightings: two texts agree in one sample with a probability equal to their weighted
+   Jaccard similarity. Samples are banded; texts that agree in a band meet in a bucket. Texts with too little weight on
+   shingles that occur in another text are near to none and have no samples.
 3. Buckets of two are one candidate pair. Larger buckets, in blocks of bounded size, are linked by a
    forest of their most similar pairs, found on the samples inside a task; blocks meet again through the roots of
    their trees. Pairs inside a bucket are never written out.
@@ -12,7 +15,7 @@
 5. Verified links are joined to connected components.
 6. Where a bucket of several blocks still holds several components, tasks of two parts each go through all pairs
    of its members that are in different components, in the same way. Buckets with many such parts are first bucketed
-   again by each of twenty groups of samples, of which any pair worth trying shares one.
+   again by each of twenty groups of samples of either weighting, of which any pair worth trying shares one.
 """
 
 from __future__ import annotations
@@ -35,8 +38,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
-# Share of the documents from which a shingle counts as frequent; rarer ones share the full weight.
+# Share of the documents from which a shingle counts as frequent; under the ceiling, rarer ones share the full weight.
 FREQUENT = 0.2
+WEIGHTINGS = 2  # inverse document frequency as it is, and with a ceiling
+CHUNK_BYTES = 8 << 20  # of text whose shingles are counted together
+CHUNKS_A_BUCKET = 4  # shingles of a bucket, in those of a chunk
 # Estimated similarity from which a pair is verified: 3.5 standard errors of 48 samples below 0.8.
 TRY_FROM = 0.6
 BLOCK = 1024
@@ -80,19 +86,19 @@ class Shingler:
             out += codes[i : i + n] * _STEP[i]
         return out ^ (out >> _U(31))
 
-    def weighted(self, text: str, frequent: tuple[np.ndarray, np.ndarray], full: float) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingles, sorted, and their weights: term frequency times inverse document frequency.
+    def counted(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles, sorted, and how often each occurs."""
+        return np.unique(self.hashes(text), return_counts=True)
 
-        The term frequency is 1 + ln(times), or else one phrase said over and over would make texts alike
-        that share nothing else.
-        """
-        found, counts = np.unique(self.hashes(text), return_counts=True)
-        times = 1 + np.log(counts)
-        weight = times * full
-        if len(frequent[0]):
-            at = np.minimum(np.searchsorted(frequent[0], found), len(frequent[0]) - 1)
-            weight = times * np.where(frequent[0][at] == found, frequent[1][at], full)
-        return found, weight.astype(np.float32)
+
+def weigh(counts: np.ndarray, df: np.ndarray, total: int) -> np.ndarray:
+    """Weights of shingles by weighting: term frequency times inverse document frequency, and that with a ceiling.
+
+    The term frequency is 1 + ln(times), or else one phrase said over and over would make texts alike
+    that share nothing else. The ceiling is the weight of a shingle in FREQUENT of all documents.
+    """
+    rare = np.log1p(total / df)
+    return ((1 + np.log(counts)) * np.stack([rare, np.minimum(rare, math.log1p(1 / FREQUENT))])).astype(np.float32)
 
 
 @functools.lru_cache(maxsize=1)
@@ -217,6 +223,44 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def _in_chunks(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int]:
+    """``chunk, id, digest, text`` of all rows, the number of chunks, and of rows."""
+    texts = _texts(docs, key, text)
+    total, size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    chunks = max(1, math.ceil(size / CHUNK_BYTES))
+    texts = texts.withColumn("digest", F.sha2("text", 256))
+    return texts.withColumn("chunk", F.pmod(F.xxhash64("id", "digest"), F.lit(chunks))), chunks, total
+
+
+def document_frequencies(texts: DataFrame, chunks: int) -> DataFrame:
+    """``chunk, bucket, df``: the number of rows of ``texts`` with each distinct shingle of the chunk (bytes, unsigned 32 bits).
+
+    The shingles of a chunk come in the order of their hashes: buckets are ranges of hashes, and so are the places in one.
+    """
+    buckets = -(-chunks // CHUNKS_A_BUCKET)
+    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], _U)
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        shingler = _shingler()
+        found, count = np.unique(np.concatenate([np.unique(shingler.hashes(t)) for t in pdf["text"]]), return_counts=True)
+        cuts = [0, *np.searchsorted(found, edges).tolist(), len(found)]
+        parts = [(k, i, j) for k, (i, j) in enumerate(itertools.pairwise(cuts)) if i < j]
+        count = count.astype(np.uint32)
+        out = [(pdf["chunk"].iloc[0], k, found[i:j].tobytes(), count[i:j].tobytes()) for k, i, j in parts]
+        return pd.DataFrame(out, columns=["chunk", "bucket", "shingles", "counts"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        sent = np.frombuffer(b"".join(pdf["shingles"]), _U)
+        _, place = np.unique(sent, return_inverse=True)
+        df = np.bincount(place, np.frombuffer(b"".join(pdf["counts"]), np.uint32)).astype(np.uint32)[place]
+        ends = np.cumsum([len(s) // 8 for s in pdf["shingles"]])
+        found = [part.tobytes() for part in np.split(df, ends[:-1])]
+        return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "df": found})
+
+    dealt = texts.groupBy("chunk").applyInPandas(deal, "chunk long, bucket long, shingles binary, counts binary")
+    return dealt.groupBy("bucket").applyInPandas(add, "chunk long, bucket long, df binary")
+
+
 def frequent_candidates(texts: DataFrame) -> tuple[DataFrame, int]:
     """``h`` of the shingles that can be in FREQUENT of all documents by their counts per partition, and the number of
     documents.
@@ -246,8 +290,9 @@ def frequent_candidates(texts: DataFrame) -> tuple[DataFrame, int]:
 
 
 def frequent_shingles(docs: DataFrame, key: str, text: str) -> tuple[tuple[np.ndarray, np.ndarray], float]:
-    """Shingles in at least FREQUENT of all documents with their weight ln(1 + N / df), and the weight of all others.
+    """Shingles in at least FREQUENT of all documents with their weight ln(1 + N / df), and the ceiling of the weights.
 
+    A summary of a table, not a step of ``near_duplicates``, which has the document frequencies of all shingles.
     At most (average shingles per document) / FREQUENT shingles can be frequent.
     """
     texts = _texts(docs, key, text)
@@ -277,25 +322,45 @@ def _band(samples: np.ndarray, band: int) -> int:
     return xxhash.xxh64_intdigest(samples.tobytes(), seed=band) - 2**63
 
 
-def signatures(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.ndarray], full: float) -> DataFrame:
-    """``id, digest, keys (one per band), samples`` of every row; texts without words have no band keys."""
+def _can_match(weights: np.ndarray, df: np.ndarray, similarity: float) -> bool:
+    """Whether another text can be so similar: at most the share of the weight that shingles of several texts have."""
+    return bool((weights[:, df > 1].sum(1) >= (similarity - 1e-4) * weights.sum(1)).any())
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = _shingler()
-        for batch in batches:
-            for at in range(0, len(batch), SETS_AT_ONCE):
-                some = batch.iloc[at : at + SETS_AT_ONCE]
-                sets = [shingler.weighted(t, frequent, full) for t in some["text"]]
-                real = [s for s in sets if len(s[0])]
-                drawn = iter(sample_many(real) if real else ())
-                samples = [next(drawn) if len(s[0]) else np.zeros(0, np.int32) for s in sets]
-                keys = [[_band(part, i) for i, part in enumerate(s.reshape(-1, ROWS))] for s in samples]
-                yield pd.DataFrame(
-                    {"id": some["id"], "digest": some["digest"], "keys": keys, "samples": [s.tobytes() for s in samples]}
-                )
 
-    texts = _texts(docs, key, text).withColumn("digest", F.sha2("text", 256))
-    return texts.mapInPandas(sign, f"id {docs.schema[key].dataType.simpleString()}, digest string, keys array<long>, samples binary")
+def signatures(texts: DataFrame, chunks: int, total: int, similarity: float = SIMILARITY) -> DataFrame:
+    """``id, digest, keys (one per band), samples, df`` of each of the ``total`` rows.
+
+    ``samples`` are those of both weightings, ``df`` the document frequencies of the sorted distinct shingles. Texts without
+    words, and those that can be similar to no other, have none.
+    """
+
+    def sign(pdf: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+        shingler = _shingler()
+        held = [shingler.counted(t) for t in pdf["text"]]
+        df = np.frombuffer(b"".join(counted.sort_values("bucket")["df"]), np.uint32)
+        ends = np.cumsum([len(found) for found, _ in held])
+        # The chunk's distinct shingles in order, as document_frequencies has them.
+        _, place = np.unique(np.concatenate([found for found, _ in held]), return_inverse=True)
+        held = [(found, counts, df[at]) for (found, counts), at in zip(held, np.split(place, ends[:-1]), strict=True)]
+        keys, samples, kept = [[] for _ in held], [b""] * len(held), [b""] * len(held)
+        weights = [weigh(counts, n, total) for _, counts, n in held]
+        able = [i for i, w in enumerate(weights) if w.size and _can_match(w, held[i][2], similarity)]
+        for at in range(0, len(able), SETS_AT_ONCE):
+            some = able[at : at + SETS_AT_ONCE]
+            drawn = np.concatenate([sample_many([(held[i][0], weights[i][k]) for i in some]) for k in range(WEIGHTINGS)], axis=1)
+            for i, one in zip(some, drawn, strict=True):
+                keys[i] = [_band(part, k) for k, part in enumerate(one.reshape(-1, ROWS))]
+                samples[i], kept[i] = one.tobytes(), held[i][2].tobytes()
+        return pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "keys": keys, "samples": samples, "df": kept})
+
+    schema = f"id {texts.schema['id'].dataType.simpleString()}, digest string, keys array<long>, samples binary, df binary"
+    counted = document_frequencies(texts, chunks)
+    return texts.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(sign, schema)
+
+
+def _estimates(samples: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Estimated similarity of each to one: the greater of the weightings' shares of equal samples."""
+    return (samples == one).mean(-1).max(-1)
 
 
 def _forest(samples: np.ndarray) -> list[tuple[int, int]]:
@@ -310,14 +375,14 @@ def _forest(samples: np.ndarray) -> list[tuple[int, int]]:
         if best[at] >= TRY_FROM:
             edges.append((int(parent[at]), at))
         outside[at] = False
-        similar = (samples == samples[at]).mean(1)
+        similar = _estimates(samples, samples[at])
         closer = outside & (similar > best)
         best[closer], parent[closer] = similar[closer], at
     return edges
 
 
 def _decoded(samples: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(samples), np.int32).reshape(len(samples), SAMPLES)
+    return np.frombuffer(b"".join(samples), np.int32).reshape(len(samples), WEIGHTINGS, SAMPLES)
 
 
 def candidate_pairs(signed: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -329,7 +394,7 @@ def candidate_pairs(signed: DataFrame, block: int = BLOCK) -> tuple[DataFrame, D
     )
     pairs = buckets.filter("n = 2 and a < b").select("a", "b")
     larger = buckets.filter("n > 2").select("key", "n")
-    members = materialize(skew_join(rows, larger, ["key"], "n", max(1, total * BANDS), F.col("id"), "inner"))
+    members = materialize(skew_join(rows, larger, ["key"], "n", max(1, total * BANDS * WEIGHTINGS), F.col("id"), "inner"))
     parts = F.ceil(F.col("n") / block)
     members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id", "key", F.lit(0)), parts))
     kind = signed.schema["id"].dataType.simpleString()
@@ -367,33 +432,37 @@ def candidate_pairs(signed: DataFrame, block: int = BLOCK) -> tuple[DataFrame, D
     return pairs.distinct(), members
 
 
-def weighted_sets(
-    docs: DataFrame, ids: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.ndarray], full: float
-) -> DataFrame:
-    """``id, shingles, weights`` (bytes) of the documents in ``ids``."""
+def weighted_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, distinct: DataFrame, total: int) -> DataFrame:
+    """``id, shingles, weights`` (bytes) of the texts of ``distinct`` whose id is in ``ids``."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = _shingler()
         for batch in batches:
-            found = [shingler.weighted(t, frequent, full) for t in batch["text"]]
+            found = [shingler.counted(t) for t in batch["text"]]
+            weights = [weigh(n, np.frombuffer(df, np.uint32), total) for (_, n), df in zip(found, batch["df"], strict=True)]
             yield pd.DataFrame(
-                {"id": batch["id"], "shingles": [f.tobytes() for f, _ in found], "weights": [w.tobytes() for _, w in found]}
+                {"id": batch["id"], "shingles": [f.tobytes() for f, _ in found], "weights": [w.tobytes() for w in weights]}
             )
 
     # Of a key with several texts the one with the least digest; repeated rows are one.
-    wanted = _texts(docs, key, text).join(ids, "id", "left_semi")
-    wanted = wanted.groupBy("id").agg(F.min(F.struct(F.sha2("text", 256).alias("digest"), "text")).alias("_t"))
+    signed = distinct.filter(F.size("keys") > 0).join(ids, "id", "left_semi")
+    signed = signed.groupBy("id").agg(F.min(F.struct("digest", "df")).alias("_s")).select("id", "_s.digest", "_s.df")
+    texts = _texts(docs, key, text).join(ids, "id", "left_semi").withColumn("digest", F.sha2("text", 256))
+    wanted = texts.join(signed, ["id", "digest"]).groupBy("id").agg(F.min("text").alias("text"), F.min("df").alias("df"))
     kind = docs.schema[key].dataType.simpleString()
-    wanted = wanted.select("id", "_t.text")
     return wanted.mapInPandas(measure, f"id {kind}, shingles binary, weights binary")
 
 
 def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Sum of the lesser weights over the sum of the greater, over sorted distinct shingles."""
+    """Sum of the lesser weights over the sum of the greater, over sorted distinct shingles; of several weightings the most."""
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    common = float(np.minimum(wa[i], wb[j]).sum(dtype=np.float64))
-    whole = float(wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64)) - common
-    return common / whole if whole else 0.0
+    common = np.minimum(wa[..., i], wb[..., j]).sum(-1, dtype=np.float64)
+    whole = wa.sum(-1, dtype=np.float64) + wb.sum(-1, dtype=np.float64) - common
+    return float(np.max(common / whole)) if np.all(whole) else 0.0
+
+
+def _set(shingles: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(shingles, _U), np.frombuffer(weights, np.float32).reshape(WEIGHTINGS, -1)
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -402,12 +471,7 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     @F.pandas_udf("double")
     def similar(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.Series:
         return pd.Series(
-            [
-                weighted_jaccard(
-                    np.frombuffer(p, _U), np.frombuffer(q, np.float32), np.frombuffer(r, _U), np.frombuffer(s, np.float32)
-                )
-                for p, q, r, s in zip(a, wa, b, wb, strict=True)
-            ],
+            [weighted_jaccard(*_set(p, q), *_set(r, s)) for p, q, r, s in zip(a, wa, b, wb, strict=True)],
             dtype=float,
         )
 
@@ -451,7 +515,7 @@ def _link_exactly(ids: np.ndarray, label: np.ndarray, samples: np.ndarray, sets:
 
     likely = []
     for i in range(len(ids) - 1):
-        similar = (samples[i + 1 :] == samples[i]).mean(1)
+        similar = _estimates(samples[i + 1 :], samples[i])
         found = np.flatnonzero((similar >= TRY_FROM) & (label[i + 1 :] != label[i]))
         likely += [(-similar[j], i, i + 1 + j) for j in found]
     out = []
@@ -478,7 +542,7 @@ def links_between_parts(
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        held = [(np.frombuffer(s, _U), np.frombuffer(w, np.float32)) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
+        held = [_set(s, w) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
         out = _link_exactly(pdf["id"].to_numpy(), pdf["label"].to_numpy(), _decoded(pdf["samples"]), held, similarity)
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -510,7 +574,8 @@ def _finer_buckets(rows: DataFrame) -> DataFrame:
     # Pairs to be tried differ in so many samples at most; with one group more, some group has no difference.
     differ = SAMPLES - math.ceil(TRY_FROM * SAMPLES)
     edges = [SAMPLES * i // (differ + 1) for i in range(differ + 2)]
-    groups = [F.substring("samples", 4 * a + 1, 4 * (b - a)) for a, b in itertools.pairwise(edges)]
+    firsts = range(0, WEIGHTINGS * SAMPLES, SAMPLES)
+    groups = [F.substring("samples", 4 * (first + a) + 1, 4 * (b - a)) for first in firsts for a, b in itertools.pairwise(edges)]
     keys = F.array(*[F.xxhash64("key", F.lit(i), group) for i, group in enumerate(groups)])
     return rows.select(F.explode(keys).alias("key"), "id", "label", "block")
 
@@ -554,14 +619,14 @@ def links_between_blocks(
         label, samples = pdf["label"].to_numpy(), _decoded(pdf["samples"])
         wanted = np.zeros(len(pdf), bool)
         for i in range(len(pdf) - 1):
-            near = ((samples[i + 1 :] == samples[i]).mean(1) >= TRY_FROM) & (label[i + 1 :] != label[i])
+            near = (_estimates(samples[i + 1 :], samples[i]) >= TRY_FROM) & (label[i + 1 :] != label[i])
             wanted[i] |= near.any()
             wanted[i + 1 :] |= near
         return pdf.loc[wanted, ["key", "x", "y", "id", "label"]]
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        held = [(np.frombuffer(s, _U), np.frombuffer(w, np.float32)) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
+        held = [_set(s, w) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
         out = _link_exactly(pdf["id"].to_numpy(), pdf["label"].to_numpy(), _decoded(pdf["samples"]), held, similarity)
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -575,7 +640,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """One row per row of ``docs``: ``key, class_id, class_size, kept, links``.
 
     Documents are in one class if a chain of pairs of at least ``similarity`` (weighted Jaccard over TF-IDF
-    weighted five-word shingles) connects them; equal texts always are. The class id is its least key, and that
+    weighted five-word shingles, by the weights as they are or with a ceiling) connects them; equal texts always are. The class id is its least key, and that
     document stays. ``links`` counts the links to other texts that were verified and hold the class together. Null and empty texts equal each
     other and are near to nothing else; a text under five words is one shingle. Rows that repeat key and text are
     one document, and texts that share a key are in one class. Rows without a key are not compared: each stays,
@@ -589,8 +654,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         F.lit(0).cast("long").alias("links"),
     )
     docs = docs.filter(F.col(key).isNotNull()).select(key, text)
-    frequent, full = frequent_shingles(docs, key, text)
-    signed = materialize(signatures(docs, key, text, frequent, full))
+    texts, chunks, total = _in_chunks(docs, key, text)
+    signed = materialize(signatures(texts, chunks, total, similarity))
     rows = signed.select("id", "digest")
     copies = materialize(rows.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
     firsts = copies.select(F.col("first").alias("id"), "digest")
@@ -598,7 +663,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     pairs, members = candidate_pairs(distinct.filter(F.size("keys") > 0))
     pairs = materialize(pairs)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("id")).distinct()
-    sets = materialize(weighted_sets(docs, materialize(ids), key, text, frequent, full))
+    sets = materialize(weighted_sets(docs, materialize(ids), key, text, distinct, total))
     links = materialize(similarities(pairs, sets).filter(F.col("similarity") >= similarity).select("a", "b"))
     more = links_between_parts(distinct, members, components(links), sets, similarity)
     links = materialize(links.union(more).distinct())

@@ -150,3 +150,52 @@ def test_small_partitions_send_few_candidates(spark):
     df = spark.createDataFrame(rows, "id long, text string").repartition(32)
     found, total = nd.frequent_candidates(df)
     assert total == 64 and found.count() == 1
+
+
+def planted_frequencies():
+    """Shingles in 1, 2, 3 and 30 of 60 texts, dealt over several chunks."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    shared = {n: " ".join(word() for _ in range(12)) for n in (2, 3, 30)}
+    return [(i, " ".join([*(shared[n] for n in shared if i < n), *(word() for _ in range(30))])) for i in range(60)]
+
+
+def test_every_shingle_has_its_own_document_frequency(spark, monkeypatch):
+    """Rare shingles too: no two document frequencies weigh the same."""
+    rows = planted_frequencies()
+    monkeypatch.setattr(nd, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(nd, "_can_match", lambda *_: True)
+    texts, chunks, total = nd._in_chunks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    assert chunks > 8 and total == 60
+    shingler, want = nd.Shingler(), defaultdict(int)
+    sets = {i: shingler.counted(t) for i, t in rows}
+    for found, _ in sets.values():
+        for h in found.tolist():
+            want[h] += 1
+    assert set(want.values()) >= {1, 2, 3, 30}
+    for r in nd.signatures(texts, chunks, total).collect():
+        df = np.frombuffer(r.df, np.uint32)
+        assert df.tolist() == [want[h] for h in sets[r.id][0].tolist()]
+        assert nd.weigh(sets[r.id][1], df, total)[0] == pytest.approx(np.log1p(60 / df))
+
+
+def test_rare_shingles_outweigh_common_ones(spark):
+    """Two texts that share what no other has are near, though half of their shingles are common lines that differ."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    lines = [" ".join(word() for _ in range(16)) for _ in range(2)]
+    rare = " ".join(word() for _ in range(100))
+    rows = [(0, f"{rare} {lines[0]}"), (1, f"{rare} {lines[1]}")]
+    rows += [(i, " ".join([*(word() for _ in range(100)), lines[i % 2]])) for i in range(2, 62)]
+    rows += [(i, " ".join(word() for _ in range(20))) for i in range(62, 200)]
+    sets = [shingles(t) for _, t in rows[:2]]
+    assert len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1])
+    found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).filter("class_size > 1").collect()
+    assert {r.doc_id for r in found} == {0, 1}
+
+
+def test_texts_that_match_nothing_have_no_samples(spark):
+    rows = planted_frequencies()[:1] + [(100 + i, " ".join(f"own{i}x{j}" for j in range(50))) for i in range(5)]
+    rows += [(200, rows[0][1] + " more")]
+    texts = nd._in_chunks(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    assert {r.id for r in nd.signatures(*texts).filter("size(keys) > 0").collect()} == {0, 200}
