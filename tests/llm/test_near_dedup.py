@@ -179,15 +179,19 @@ def test_every_shingle_has_its_own_document_frequency(spark, monkeypatch):
         assert nd.weigh(sets[r.id][1], df, total)[0] == pytest.approx(np.log1p(60 / df))
 
 
-def test_rare_shingles_outweigh_common_ones(spark):
-    """Two texts that share what no other has are near, though half of their shingles are common lines that differ."""
+def rare_and_common():
+    """Texts 0 and 1 share what no other has, but differ in a common line: under 0.8 of their shingles are the same."""
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
     lines = [" ".join(word() for _ in range(16)) for _ in range(2)]
     rare = " ".join(word() for _ in range(100))
     rows = [(0, f"{rare} {lines[0]}"), (1, f"{rare} {lines[1]}")]
     rows += [(i, " ".join([*(word() for _ in range(100)), lines[i % 2]])) for i in range(2, 62)]
-    rows += [(i, " ".join(word() for _ in range(20))) for i in range(62, 200)]
+    return rows + [(i, " ".join(word() for _ in range(20))) for i in range(62, 200)]
+
+
+def test_rare_shingles_outweigh_common_ones(spark):
+    rows = rare_and_common()
     sets = [shingles(t) for _, t in rows[:2]]
     assert len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1])
     found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).filter("class_size > 1").collect()

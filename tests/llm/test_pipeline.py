@@ -1,7 +1,7 @@
 """The stages one after another against plain Python, and the whole run."""
 
 import numpy as np
-from test_near_dedup import brute_classes
+from test_near_dedup import brute_classes, rare_and_common
 
 import corpus_pipeline
 from arealis.llm import mixing, packing, quality
@@ -62,3 +62,9 @@ def test_run_of_awkward_tables(spark, awkward, nothing, marks, tmp_path):
         rows = corpus_pipeline.run(spark, folder).collect()
         assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
     assert quality.THRESHOLD == 0.3
+
+
+def test_near_duplicates_by_document_frequency(spark):
+    rows = rare_and_common()
+    kept = corpus_pipeline.near_deduplication(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert {key for key, _ in rows} - {r.doc_id for r in kept.collect()} == {1}
