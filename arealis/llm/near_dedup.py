@@ -42,7 +42,7 @@ SAMPLES = BANDS * ROWS
 FREQUENT = 0.2
 WEIGHTINGS = 2  # inverse document frequency as it is, and with a ceiling
 CHUNK_BYTES = 8 << 20  # of text whose shingles are counted together
-CHUNKS_A_BUCKET = 4  # shingles of a bucket, in those of a chunk
+CHUNKS_A_BUCKET = 1  # shingles of a bucket, in those of a chunk
 # Estimated similarity from which a pair is verified: 3.5 standard errors of 48 samples below 0.8.
 TRY_FROM = 0.6
 BLOCK = 1024
