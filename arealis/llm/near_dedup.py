@@ -41,7 +41,7 @@ SAMPLES = BANDS * ROWS
 # Share of the documents from which a shingle counts as frequent; under the ceiling, rarer ones share the full weight.
 FREQUENT = 0.2
 WEIGHTINGS = 2  # inverse document frequency as it is, and with a ceiling
-CHUNK_BYTES = 8 << 20  # of text whose shingles are counted together
+CHUNK_BYTES = 4 << 20  # of text whose shingles are counted together
 CHUNKS_A_BUCKET = 1  # shingles of a bucket, in those of a chunk
 # Estimated similarity from which a pair is verified: 3.5 standard errors of 48 samples below 0.8.
 TRY_FROM = 0.6
@@ -438,11 +438,13 @@ def weighted_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, distinct
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = _shingler()
         for batch in batches:
-            found = [shingler.counted(t) for t in batch["text"]]
-            weights = [weigh(n, np.frombuffer(df, np.uint32), total) for (_, n), df in zip(found, batch["df"], strict=True)]
-            yield pd.DataFrame(
-                {"id": batch["id"], "shingles": [f.tobytes() for f, _ in found], "weights": [w.tobytes() for w in weights]}
-            )
+            for at in range(0, len(batch), SETS_AT_ONCE):  # the sets are larger than the texts
+                some = batch.iloc[at : at + SETS_AT_ONCE]
+                found = [shingler.counted(t) for t in some["text"]]
+                weights = [weigh(n, np.frombuffer(df, np.uint32), total) for (_, n), df in zip(found, some["df"], strict=True)]
+                yield pd.DataFrame(
+                    {"id": some["id"], "shingles": [f.tobytes() for f, _ in found], "weights": [w.tobytes() for w in weights]}
+                )
 
     # Of a key with several texts the one with the least digest; repeated rows are one.
     signed = distinct.filter(F.size("keys") > 0).join(ids, "id", "left_semi")
