@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,24 @@ HOT_SHARE = 1000
 SALTS = 64
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def clear_caches(but: str = "") -> None:
+    """Empty all caches of this process but that of a name.
+
+    Python workers go on from one stage to the next, and what each stage keeps would add up.
+    """
+    for name in [name for name in _caches if name != but]:
+        _caches.pop(name)()
+
+
+def keep_cache(name: str, clear: Callable[[], None]) -> None:
+    """From now on this process keeps the cache of ``name`` only, which ``clear`` empties."""
+    clear_caches(but=name)
+    _caches[name] = clear
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import skew_join
+from arealis.llm.common import keep_cache, skew_join
 from arealis.sources.scratch import materialize
 
 SHINGLE = 5
@@ -48,7 +48,7 @@ TRY_FROM = 0.6
 BLOCK = 1024
 # Parts of a bucket outside of its largest component from which buckets of groups of samples cost less.
 WIDE = 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 CHUNK = 2048  # shingles sampled at once
 SETS_AT_ONCE = 128
 LIMIT = 4.0  # times the mean of the least value's distribution: all but two in a hundred lie below
@@ -102,10 +102,16 @@ def weigh(counts: np.ndarray, df: np.ndarray, total: int) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=1)
-def _shingler() -> Shingler:
+def _one_shingler() -> Shingler:
     return Shingler()
 
 
+def _shingler() -> Shingler:
+    shingler = _one_shingler()
+    keep_cache("shingler", shingler.known.clear)
+    return shingler
+
+
 @functools.lru_cache(maxsize=1)
 def _gamma_table() -> np.ndarray:
     """65,536 quantiles of the Gamma(2, 1) distribution, by inverting its distribution function."""
@@ -515,13 +521,17 @@ def _link_exactly(ids: np.ndarray, label: np.ndarray, samples: np.ndarray, sets:
             x = part[x]
         return x
 
-    likely = []
+    likely: list[tuple[np.ndarray, ...]] = []
     for i in range(len(ids) - 1):
         similar = _estimates(samples[i + 1 :], samples[i])
         found = np.flatnonzero((similar >= TRY_FROM) & (label[i + 1 :] != label[i]))
-        likely += [(-similar[j], i, i + 1 + j) for j in found]
-    out = []
-    for _, i, j in sorted(likely):
+        likely.append((-similar[found], np.full(len(found), i, np.int32), (i + 1 + found).astype(np.int32)))
+    out: list[tuple] = []
+    if not likely:
+        return out
+    unlike, first, second = (np.concatenate(column) for column in zip(*likely, strict=True))
+    for at in np.argsort(unlike, kind="stable"):  # ties by place
+        i, j = first[at], second[at]
         a, b = find(label[i]), find(label[j])
         if a != b and weighted_jaccard(*sets[i], *sets[j]) >= similarity:
             part[a] = b

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arealis.llm.common import keep_cache
 from arealis.sources.scratch import materialize
 
 CAPACITY = 2048
@@ -82,6 +83,10 @@ class Encoder:
         self.rest = _Ids(self.bpe.encode_ordinary, " ")
         self.cache_words = cache_words
 
+    def clear(self) -> None:
+        self.first.clear()
+        self.rest.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         for known in (self.first, self.rest):
             if len(known) > self.cache_words:
@@ -105,10 +110,16 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(ranks: str, pattern: str) -> Encoder:
+def _one_encoder(ranks: str, pattern: str) -> Encoder:
     return Encoder(ranks, pattern)
 
 
+def _encoder(ranks: str, pattern: str) -> Encoder:
+    encoder = _one_encoder(ranks, pattern)
+    keep_cache(f"encoder of {ranks}", encoder.clear)
+    return encoder
+
+
 def pieces(
     docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:

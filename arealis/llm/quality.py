@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import held_out
+from arealis.llm.common import clear_caches, held_out
 from arealis.sources.scratch import materialize
 
 FEATURES = 192
@@ -118,6 +118,7 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``key, x``: the statistics of every row."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_caches()
         for batch in batches:
             found = [statistics(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(found, pa.list_(pa.float64()))], ["key", "x"])

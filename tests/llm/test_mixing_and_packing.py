@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from arealis.llm import mixing, packing
+from arealis.llm import mixing, near_dedup, packing
 from arealis.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -155,6 +155,17 @@ def test_added_tokens_are_those_of_the_tokenizer(texts):
     assert np.frombuffer(got[-1], "<u4").tolist() == [64, 220, 50256, 275]
 
 
+def test_stages_keep_one_cache_in_a_process():
+    """The words of an earlier stage are not kept beside those of a later one."""
+    encoder, shingler = packing._encoder(*RANKS), near_dedup._shingler()
+    shingler.hashes("some words")
+    assert shingler.known and packing._encoder(*RANKS) is encoder
+    assert not shingler.known
+    encoder.encode(["some words"])
+    assert encoder.first and encoder.rest and near_dedup._shingler() is shingler
+    assert not encoder.first and not encoder.rest
+
+
 def check_packing(rows, docs, capacity=packing.CAPACITY):
     whole = Tokenizer.from_file(PATH)
     whole.encode_special_tokens = True
