@@ -12,7 +12,8 @@ Where a repeat of ``length`` bytes may lie, and what must be compared with what,
    common-prefix intervals. An interval whose suffixes have different left symbols is a maximal repeat, with all its
    occurrences. Where a piece begins, the symbol is one that nothing else has: what goes on to the left is in the piece before.
 4. A code with too many different pieces for one task (a line that a third of all texts hold) is left out of
-   consideration and its pieces are coded anew by their other grams, until the groups are small.
+   consideration with all grams that many of its pieces hold, and its pieces are coded anew by their other grams, until the
+   groups are small. Windows of such grams alone keep their least gram as their code.
 
 Memory follows the bounded groups of step 3, and nothing reaches the driver.
 """
@@ -35,6 +36,8 @@ LENGTH = 200
 LONGEST_PIECE = 1024  # windows
 GROUP = 2000  # different pieces of one code that one task compares
 DEEPEST = 24  # times that a group is coded anew
+COUNTED = 2000  # different pieces of a large group whose grams are counted, or as many as a group may have
+OFTEN = 8  # of them that hold a gram that may be left out
 BATCH_BYTES = 1 << 20  # pieces in one suffix array, if the group itself is not larger
 
 _U = np.uint64
@@ -73,21 +76,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values if reach == width else np.minimum(values[: reach - width], values[width - reach :])
 
 
-def _hashes(data: np.ndarray, length: int, excluded: np.ndarray) -> np.ndarray:
-    """Hashes of the grams; excluded grams come last."""
-    hashes = _gram_hashes(data, _gram(length))
-    if len(excluded):
-        hashes[np.isin(hashes, excluded)] = _U(2**64 - 1)
-    return hashes
-
-
 def cut_pieces(data: np.ndarray, length: int, excluded: np.ndarray) -> tuple[np.ndarray, ...]:
     """First window, number of windows and code of each piece, and whether its code's gram recurs in the text.
 
-    Windows of excluded grams only have the last excluded code once more.
+    Excluded grams are codes of those windows only that have no others.
     """
-    hashes = _hashes(data, length, excluded)
-    codes = _least(hashes, length - _gram(length) + 1)
+    gram = _gram(length)
+    hashes, width = _gram_hashes(data, gram), length - gram + 1
+    if len(excluded):
+        others = np.where(np.isin(hashes, excluded), _U(2**64 - 1), hashes)
+        codes = _least(others, width)
+        codes = np.where(codes == _U(2**64 - 1), _least(hashes, width), codes)
+    else:
+        codes = _least(hashes, width)
     starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
     distinct = np.unique(codes[starts])
     low = hashes[hashes <= distinct[-1]]  # few
@@ -100,10 +101,7 @@ def cut_pieces(data: np.ndarray, length: int, excluded: np.ndarray) -> tuple[np.
         starts = np.repeat(starts, parts) + nth * LONGEST_PIECE
         counts = np.diff(np.append(starts, len(codes)))
         again = np.repeat(again, parts)
-    found = codes[starts]
-    if len(excluded):
-        found[found == _U(2**64 - 1)] = excluded[-1]
-    return starts, counts, found, again
+    return starts, counts, codes[starts], again
 
 
 class SuffixArray:
@@ -327,7 +325,7 @@ def _repeats(texts: DataFrame, length: int, group: int, depth: int = 0) -> list[
     in_pieces = [_search_repeats(small, length)]
     if large is not None:
         places = large.select("id", "code", "digest")
-        for part in _repeats(_as_texts(large), length, group, depth + 1):
+        for part in _repeats(_as_texts(large, length, group), length, group, depth + 1):
             part = part.select("repeat", "size", F.col("row").alias("id"), F.col("start").alias("at"))
             in_pieces.append(part.join(places, "id").select("repeat", "size", "code", "digest", "at"))
     for part in in_pieces:
@@ -344,7 +342,7 @@ def _spans(texts: DataFrame, length: int, group: int, depth: int = 0) -> list[Da
     small, large = _different_pieces(texts, kinds, length, group, depth)
     found.append(_search_spans(small, length))
     if large is not None:
-        inner = [part.withColumnRenamed("row", "id") for part in _spans(_as_texts(large), length, group, depth + 1)]
+        inner = [part.withColumnRenamed("row", "id") for part in _spans(_as_texts(large, length, group), length, group, depth + 1)]
         places = large.filter("n = 1").select("id", "row", "start")
         shifted = [F.col("start") + F.col(name) for name in ("first", "last")]
         found += [part.join(places, "id").select("row", shifted[0].alias("first"), shifted[1].alias("last")) for part in inner]
@@ -369,7 +367,7 @@ def _different_pieces(
     counts = kinds.groupBy("code").agg(F.count(F.lit(1)).alias("kinds"), F.max("again").alias("own"))
     counts = counts.filter("kinds > 1 or own").select("code", "kinds")
     bodies = materialize(_bodies(texts, kinds.join(counts, "code"), length), compression="zstd")
-    # A code that comes again cannot be split any more: its pieces are made of crowded grams alone, a word repeated.
+    # A code that comes again cannot be split any more: its pieces are made of crowded grams alone.
     again = F.array_contains(F.slice("excluded", F.lit(1), F.size("excluded") - 1), F.col("code"))
     is_large = (F.col("kinds") > group) & ~again & F.lit(depth < DEEPEST)
     large = bodies.filter(is_large)
@@ -378,8 +376,37 @@ def _different_pieces(
     return bodies.filter(~is_large), materialize(large.withColumn("id", F.monotonically_increasing_id()), compression="zstd")
 
 
-def _as_texts(large: DataFrame) -> DataFrame:
-    return large.select(F.col("id").alias("row"), "text", "excluded")
+def _crowded_grams(large: DataFrame, length: int, group: int) -> DataFrame:
+    """``code, crowded``: the grams that more than half a group of the different pieces of a large group hold, by estimate.
+
+    They are counted in some pieces of each group, chosen by digest. Whatever the list has, nothing is lost: all pieces of
+    a group are coded without the same grams.
+    """
+    rate = F.ceil(F.col("kinds") / max(group, COUNTED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[tuple[int, int], list[np.ndarray]] = {}
+            columns = [batch[name].to_pylist() for name in ("text", "code", "rate")]
+            for text, *name in zip(*columns, strict=True):
+                grams = np.unique(_gram_hashes(np.frombuffer(text, np.uint8), _gram(length)))
+                found.setdefault(tuple(name), []).append(grams)
+            for (code, times), held in found.items():
+                grams, n = np.unique(np.concatenate(held), return_counts=True)
+                columns = [np.full(len(n), code), np.full(len(n), times), grams.view(np.int64), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["code", "rate", "gram", "n"])
+
+    some = large.withColumn("rate", rate).filter(F.pmod(F.xxhash64("digest"), "rate") == 0).select("text", "code", "rate")
+    counts = some.mapInArrow(run, "code long, rate long, gram long, n long").groupBy("code", "rate", "gram").agg(F.sum("n").alias("n"))
+    crowded = counts.filter((F.col("n") >= OFTEN) & (2 * F.col("n") * F.col("rate") > group))
+    return crowded.groupBy("code").agg(F.collect_set("gram").alias("crowded"))
+
+
+def _as_texts(large: DataFrame, length: int, group: int) -> DataFrame:
+    """The pieces of large groups as texts, with all grams that they are to be coded without."""
+    texts = large.join(materialize(_crowded_grams(large, length, group)), "code", "left")
+    excluded = F.array_union("excluded", F.coalesce("crowded", F.array().cast("array<long>")))
+    return texts.select(F.col("id").alias("row"), "text", excluded.alias("excluded"))
 
 
 def _numbered(docs: DataFrame, text: str) -> DataFrame:

@@ -243,6 +243,36 @@ def test_removal_equals_brute_force(spark, length, group, alphabet):
     assert removal(df, length=length, group=group) == brute_removal(rows, length)
 
 
+def test_large_groups_are_coded_anew_without_all_their_crowded_grams(spark, monkeypatch):
+    """Near copies with changed words and a common passage: right spans, after few rounds."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    base, passage = [word() for _ in range(40)], " ".join(word() for _ in range(12))
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for at in rng.sample(range(40), 2):
+            copy[at] = word()
+        texts += [" ".join(copy), f"{word()} {word()} {passage} {word()} {word()}"]
+    rows = list(enumerate(texts))
+    rounds = []
+    different = repeats._different_pieces
+    monkeypatch.setattr(repeats, "_different_pieces", lambda *a: (rounds.append(a[-1]), different(*a))[1])
+    monkeypatch.setattr(repeats, "OFTEN", 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert removal(df, length=60, group=8) == brute_removal(rows, 60)
+    assert len(rounds) <= 4
+
+
+def test_excluded_grams_are_codes_of_windows_without_others_only():
+    data = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz" * 2 + b"0123456789", np.uint8)
+    hashes = repeats._gram_hashes(data, 8)
+    _, _, plain, _ = repeats.cut_pieces(data, 24, np.array([], np.uint64))
+    _, _, codes, _ = repeats.cut_pieces(data, 24, plain[:1])
+    assert plain[0] not in codes and set(codes) <= set(hashes)
+    assert set(repeats.cut_pieces(data, 24, hashes)[2]) == set(plain)
+
+
 def test_repeats_of_awkward_and_empty_tables(spark, awkward, nothing):
     rows = [(r.doc_id, r.text) for r in awkward.collect() if r.doc_id != 7]
     assert rows_of(repeats.removal_report(awkward.filter("doc_id is null or doc_id != 7"))) == brute_removal(rows, 200)
